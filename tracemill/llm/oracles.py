@@ -1,6 +1,16 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL = {
+    "op4_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS keep FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > keep THEN keep END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+""",
     "op10_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS line
