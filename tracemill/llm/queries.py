@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, pii, quality, shared, simhash, substring, warc
+from . import line_dedup, pii, quality, secrets, shared, simhash, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +33,20 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"] < 4)
     count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
-    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
