@@ -64,12 +64,12 @@ def test_classes_match_brute_force(spark):
 def test_hot_buckets_are_refined(spark):
     rng = seeded(5)
     base = rng.getrandbits(64)
-    fps = {base ^ sum(1 << b for b in set(rng.sample(range(64), 6)) if rng.random() < 0.4) for _ in range(250)}
-    fps |= {rng.getrandbits(64) for _ in range(40)}
+    fps = {base ^ sum(1 << b for b in set(rng.sample(range(64), 4)) if rng.random() < 0.4) for _ in range(120)}
+    fps |= {rng.getrandbits(64) for _ in range(30)}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
     want = brute([(x, x & (1 << 64) - 1) for x in sorted(signed)])
-    for bucket in (6, 512):
+    for bucket in (30, simhash.BUCKET):
         tree = {r.node: r.root for r in simhash.components(simhash.links(df, bucket=bucket)).collect()}
         assert {x: tree.get(x, x) for x in signed} == want
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import shared
 from .tokens import Texts, load8, lowered, sliced, texts_of, words_of
 
-BITS, RADIUS, SHINGLE, SEED, BUCKET = 64, 3, 3, 42, 512
+BITS, RADIUS, SHINGLE, SEED, BUCKET = 64, 3, 3, 42, 8192
 U = np.uint64
 #: The five primes of XXH64.
 P1, P2, P3, P4, P5 = map(U, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -48,12 +48,13 @@ def xxh64(buf: np.ndarray, start: np.ndarray, length: np.ndarray, seed: int = SE
     """XXH64 of many byte spans at once; ``buf`` has 16 spare bytes at its end."""
     lane = load8(buf)
     length = length.astype(np.int64)
-    h = np.full(len(start), U(seed) + P5, np.uint64)
+    lead = [U(x & (1 << 64) - 1) for x in (seed + int(P1) + int(P2), seed + int(P2), seed, seed - int(P1), seed + int(P5))]
+    h = np.full(len(start), lead[4], np.uint64)
     pos = start.astype(np.int64).copy()
     end = pos + length
     big = np.flatnonzero(length >= 32)
     if len(big):
-        acc = [np.full(len(big), v, np.uint64) for v in (U(seed) + P1 + P2, U(seed) + P2, U(seed), U(seed) - P1)]
+        acc = [np.full(len(big), v, np.uint64) for v in lead[:4]]
         live, p = np.arange(len(big)), pos[big]
         while len(live):
             for k in range(4):
@@ -146,15 +147,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _cut(open_bits: tuple[int, ...], fixed: int) -> list[tuple[int, tuple[int, ...]]]:
-    """The one-wildcard variants of both halves of the open bits: (mask of all fixed bits, bits left open)."""
+def _cut(open_bits: tuple[int, ...], fixed: int) -> list[int]:
+    """The one-wildcard variants of both halves of the open bits, as masks of all bits then fixed."""
     half = len(open_bits) // 2
-    out = []
-    for seg in (open_bits[:half], open_bits[half:]):
-        for wild in seg:
-            mask = fixed | sum(1 << b for b in seg if b != wild)
-            out.append((mask, tuple(b for b in open_bits if not mask >> b & 1)))
-    return out
+    return [fixed | sum(1 << b for b in seg if b != wild) for seg in (open_bits[:half], open_bits[half:]) for wild in seg]
 
 
 def _open(mask: int) -> tuple[int, ...]:
@@ -166,9 +162,52 @@ def _signed(x: int) -> int:
 
 
 def _variants(df: DataFrame) -> DataFrame:
-    """(fp, mask, key) of level 0."""
-    masks = F.array(*[F.lit(_signed(m)) for m, _ in _cut(tuple(range(BITS)), 0)])
-    return df.select("fp", F.explode(masks).alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+    """(fp, mask, key) of level 0, from rows dealt evenly: each makes 64."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    masks = F.array(*[F.lit(_signed(m)) for m in _cut(tuple(range(BITS)), 0)])
+    return df.repartition(n, "fp").select("fp", F.explode(masks).alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+
+
+def _folded(key, mask, shift):
+    """A few mixed bits of a bucket, the same in Spark and in numpy."""
+    return key ^ shift(key, 33) ^ shift(mask, 5) ^ shift(mask, 37)
+
+
+class _Wanted:
+    """A bitmap of fixed size of the wanted buckets, to leave most others out before a join."""
+
+    BITS = 26
+
+    def __init__(self, buckets: DataFrame):
+        class Bits:
+            """Spark columns with numpy's operator."""
+
+            def __init__(self, c):
+                self.c = c
+
+            def __xor__(self, other):
+                return Bits(self.c.bitwiseXOR(other.c))
+
+        x = _folded(Bits(F.col("key")), Bits(F.col("mask")), lambda v, n: Bits(F.shiftrightunsigned(v.c, n)))
+        self.bits = buckets.sparkSession.sparkContext.broadcast(shared.bitmap(buckets.select(x.c.alias("x")), "x", self.BITS))
+
+    def variants(self, fps: DataFrame) -> DataFrame:
+        """(fp, mask, key) of level 0 in the buckets that may be wanted."""
+        bits, most = self.bits, self.BITS
+        first = _cut(tuple(range(BITS)), 0)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fp = np.asarray(batch.column("fp")).view(np.uint64)
+                for m in first:
+                    mask = U(m)
+                    key = fp & mask
+                    hit = shared.in_bitmap(bits.value, _folded(key, mask, lambda v, n: v >> U(n)), most)
+                    if hit.any():
+                        k = key[hit].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(fp[hit].view(np.int64)), pa.array(np.full(len(k), _signed(m))), pa.array(k)], ["fp", "mask", "key"])
+
+        return fps.select("fp").mapInArrow(run, "fp long, mask long, key long")
 
 
 def _finer(df: DataFrame) -> DataFrame:
@@ -181,7 +220,7 @@ def _finer(df: DataFrame) -> DataFrame:
             for m in np.unique(mask):
                 if m not in known:
                     fixed = int(m) & ((1 << 64) - 1)
-                    known[m] = np.array([_signed(x) for x, _ in _cut(_open(fixed), fixed)], np.int64)
+                    known[m] = np.array([_signed(x) for x in _cut(_open(fixed), fixed)], np.int64)
                 own = fp[mask == m]
                 for x in known[m]:
                     yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), x)), pa.array(own & x)], ["fp", "mask", "key"])
@@ -190,25 +229,24 @@ def _finer(df: DataFrame) -> DataFrame:
 
 
 def _forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the pairs within ``radius`` among a bounded bucket."""
-    n = len(fps)
-    a, b = [], []
+    """Links of a spanning forest of the pairs within ``radius`` among a bounded bucket; each front meets only those not yet reached."""
     x = fps.view(np.uint64)
-    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= radius
-    left = np.ones(n, bool)
-    for s in range(n):
-        if not left[s]:
-            continue
-        left[s] = False
-        front = np.array([s])
-        while len(front):
-            hit = near[front] & left
-            to = np.flatnonzero(hit.any(axis=0))
-            if len(to):
-                a.append(fps[front[hit[:, to].argmax(axis=0)]])
-                b.append(fps[to])
-                left[to] = False
-            front = to
+    left = np.arange(len(fps))
+    a, b = [], []
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            reached = []
+            for k in range(0, len(front), 64):
+                some = front[k : k + 64]
+                near = np.bitwise_count(x[some][:, None] ^ x[left][None, :]) <= radius
+                hit = near.any(axis=0)
+                if hit.any():
+                    a.append(fps[some[near[:, hit].argmax(axis=0)]])
+                    b.append(fps[left[hit]])
+                    reached.append(left[hit])
+                    left = left[~hit]
+            front = np.concatenate(reached) if reached else front[:0]
     none = np.zeros(0, np.int64)
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
@@ -255,12 +293,14 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         some = sized.filter((F.col("n") > 2) & (F.col("n") <= F.lit(min(most, (1 << 63) - 1)))).select("mask", "key")
         hot = sized.filter(F.col("n") > F.lit(min(most, (1 << 63) - 1))).select("mask", "key")
         if some.head(1):
-            grouped = level.join(some, ["mask", "key"], "left_semi").groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
+            rows = level if depth else _Wanted(some).variants(fps)
+            grouped = rows.join(some, ["mask", "key"], "left_semi").groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
             part = part.unionByName(_verified(grouped.select("fps"), radius))
         found = part if found is None else found.unionByName(part)
         if not hot.head(1):
             break
-        level = shared.stored(_finer(level.join(hot, ["mask", "key"], "left_semi").select("fp", "mask")), "simhash-finer")
+        rows = level if depth else _Wanted(hot).variants(fps)
+        level = shared.stored(_finer(rows.join(hot, ["mask", "key"], "left_semi").select("fp", "mask").distinct()), "simhash-finer")
     return found.distinct()
 
 
