@@ -178,8 +178,11 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray) -> tuple[np.
     return own[at], rel[at], least[which]
 
 
+FOUND = "a long, c long, runs array<struct<start:int,stop:int,low:long>>"
+
+
 def _searched(contexts: DataFrame, shard: int) -> DataFrame:
-    """(a, c, start, stop, low): runs of windows of a context (first and last start) that a document below ``high`` has, and the smallest such."""
+    """FOUND: for each context its runs of windows (first and last start) that a document below ``high`` has, with the smallest such; one row a context."""
 
     def of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         col = rows.column("words").combine_chunks()
@@ -207,9 +210,10 @@ def _searched(contexts: DataFrame, shard: int) -> DataFrame:
         new[1:] = (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1])
         lead = np.flatnonzero(new)
         last = np.append(lead[1:], len(own)) - 1
-        take = pa.array(own[lead])
-        cols = [rows.column(x).combine_chunks().take(take) for x in ("a", "c")] + [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
-        yield pa.RecordBatch.from_arrays(cols, ["a", "c", "start", "stop", "low"])
+        context, n = np.unique(own[lead], return_counts=True)
+        parts = [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
+        runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays(parts, ["start", "stop", "low"]))
+        yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c")), runs], ["a", "c", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -236,7 +240,7 @@ def _searched(contexts: DataFrame, shard: int) -> DataFrame:
         if n:
             yield from of(pa.Table.from_batches(held))
 
-    return contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(run, "a long, c long, start int, stop int, low long")
+    return contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(run, FOUND)
 
 
 def _refined(contexts: DataFrame) -> DataFrame:
@@ -263,7 +267,7 @@ def _refined(contexts: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(doc_id, tid, start, stop): runs of windows (first and last start word) of a document that a smaller doc_id has too; tid is xxhash64 of the text."""
+    """(doc_id, tid, runs): the runs of windows (first and last start word) of a document that a smaller doc_id has too; tid is xxhash64 of the text."""
     slim = _narrow(docs)
     every = shared.stored(_occurrences(slim), "anchors")
     common = every.groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("a")
@@ -274,14 +278,20 @@ def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     if hot.head(1):
         fine = shared.stored(_refined(contexts.join(hot, "a", "left_semi")), "contexts-fine")
         one = fine.groupBy(F.col("ra").alias("a"), F.col("rc").alias("c")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("words").alias("words"))
-        back = _searched(one, shard).select(F.col("a").alias("_ra"), F.col("c").alias("_rc"), F.col("low").alias("_low"))
-        back = fine.join(back, (F.col("ra") == F.col("_ra")) & (F.col("rc") == F.col("_rc"))).filter("_low < high").select("a", "c", "start", F.col("start").alias("stop"), F.col("_low").alias("low"))
+        # a refined context is one window, so it has one run
+        back = _searched(one, shard).select(F.col("a").alias("_ra"), F.col("c").alias("_rc"), F.col("runs")[0]["low"].alias("_low"))
+        back = fine.join(back, (F.col("ra") == F.col("_ra")) & (F.col("rc") == F.col("_rc"))).filter("_low < high")
+        run = F.struct("start", F.col("start").alias("stop"), F.col("_low").alias("low"))
+        back = back.groupBy("a", "c").agg(F.collect_list(run).alias("runs"))
         found = _searched(contexts.join(hot, "a", "left_anti"), shard).unionByName(back)
     else:
         found = _searched(contexts, shard)
     found = found.withColumnsRenamed({"a": "_a", "c": "_c"})
-    hits = own.join(found, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c"))).filter("low < doc_id")
-    return hits.select("doc_id", "tid", (F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("stop")).alias("stop"))
+    hits = own.join(found, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c")))
+    earlier = F.filter("runs", lambda x: x["low"] < F.col("doc_id"))
+    moved = F.transform(earlier, lambda x: F.struct((x["start"] + F.col("pos")).alias("start"), (x["stop"] + F.col("pos")).alias("stop")))
+    hits = hits.select("doc_id", "tid", moved.alias("runs")).filter(F.size("runs") > 0)
+    return hits.groupBy("doc_id", "tid").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def window_dedup(docs: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -295,8 +305,7 @@ def window_digests(docs: DataFrame, shard: int = SHARD) -> DataFrame:
 
 
 def _removed(docs: DataFrame, shard: int, texts: bool) -> DataFrame:
-    runs = repeated_windows(docs, shard).groupBy(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"))
-    runs = runs.agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+    runs = repeated_windows(docs, shard).withColumnsRenamed({"doc_id": "_d", "tid": "_t"})
     slim = _narrow(docs)
     both = slim.join(runs.hint("shuffle_hash"), (F.col("doc_id") == F.col("_d")) & (F.col("tid") == F.col("_t")), "left").select("doc_id", "text", "runs")
 
