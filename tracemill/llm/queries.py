@@ -24,7 +24,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "warc")
-    warc.write(_table(spark, sf_dir, "pages"), path)
+    warc.write(_table(spark, sf_dir, "pages"), path, compression="gzip")
     return warc.page_digests(warc.read(spark, path))
 
 
