@@ -62,7 +62,8 @@ MAPPINGS = (
 
 def fingerprint(record: Column) -> Column:
     """A hash of the nested field paths (with their kinds) of a JSON text; null if it isn't JSON."""
-    return F.xxhash64(F.schema_of_variant(F.try_parse_json(record)))
+    schema = F.schema_of_variant(F.try_parse_json(record))
+    return F.when(schema.isNotNull(), F.xxhash64(schema))
 
 
 def _paths(schema: str) -> set[str]:

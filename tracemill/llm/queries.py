@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, pii, quality, secrets, shared, simhash, substring, warc
+from . import chat, decontaminate, line_dedup, pii, quality, secrets, shared, simhash, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = decontaminate.overlaps(docs, _table(spark, sf_dir, "benchmark"))
+    found = found.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("n_words").alias("longest"), F.min("n_different").alias("n_different"))
+    rest = docs.select("doc_id").join(found.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d"), "left").drop("_d")
+    return rest.select("doc_id", F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), F.coalesce("longest", F.lit(0)).alias("longest"), F.col("items").isNotNull().alias("contaminated"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], rows.schema)
