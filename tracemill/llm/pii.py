@@ -180,6 +180,9 @@ def _analysed(docs: DataFrame, how: Disclosure) -> tuple[DataFrame, DataFrame]:
     found = shared.stored(_found(slim, how), "pii-found")
     near = found.filter(F.size("near") > 0).select("tid", F.explode("near").alias("x")).select("tid", "x.entity", "x.term").distinct()
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= how.support)
+    # a term is held by at least the texts that hold it beside some entity: a cheap bound that already rules most pairs out
+    beside = near.select("tid", "term").distinct().groupBy("term").agg(F.count("*").alias("beside"))
+    pairs = pairs.join(beside, "term").filter(F.col("both") >= how.share * F.col("beside")).drop("beside")
     pairs = shared.stored(pairs, "pii-pairs")
     terms = pairs.select("term").distinct()
     held = _texts_with(slim, terms, how).distinct().groupBy("term").agg(F.count("*").alias("texts"))
