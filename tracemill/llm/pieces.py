@@ -225,21 +225,9 @@ def _ids(starts: Column, n: Column, unit: Column, edges: Column, model: Model) -
 
 
 def _merge_fold(edges: DataFrame, model: Model) -> DataFrame:
-    """The BPE fold: bits of a long are the symbol borders of units up to 62 characters; longer units keep them in an array."""
+    """The BPE fold of long units: at each character the id of the symbol that starts there (-1: no piece), or -2 inside a symbol."""
     n = F.length("unit")
-    one = F.lit(1).cast("long")
     sorted_edges = F.array_sort(F.filter("edges", lambda x: x["e"] - x["s"] > 1))
-
-    def merge(c: Column, x: Column) -> Column:
-        inner = F.call_function("shiftleft", F.call_function("shiftleft", one, x["e"] - x["s"] - 1) - 1, x["s"] + 1)
-        ends = (F.call_function("shiftright", c, x["s"]).bitwiseAND(one) == 1) & (F.call_function("shiftright", c, x["e"]).bitwiseAND(one) == 1)
-        return F.when(ends & (F.bit_count(c.bitwiseAND(inner)) == 1), c.bitwiseAND(F.bitwise_not(inner))).otherwise(c)
-
-    full = F.call_function("shiftleft", one, n + 1) - 1
-    bits = F.aggregate(sorted_edges, full, merge)
-    short = F.filter(F.sequence(F.lit(0), n - 1), lambda p: F.call_function("shiftright", F.col("bits"), p).bitwiseAND(one) == 1)
-
-    # longer units: at each character the id of the symbol that starts there (-1: no piece), or -2 inside a symbol
     chars = F.transform(F.filter("edges", lambda x: x["e"] - x["s"] == 1), lambda x: F.struct(x["s"].alias("s"), x["id"].alias("id")))
     missing = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.transform(chars, lambda x: x["s"])), lambda s: F.struct(s.alias("s"), F.lit(-1).alias("id")))
     begun = F.transform(F.array_sort(F.concat(chars, missing)), lambda x: x["id"])
@@ -250,11 +238,49 @@ def _merge_fold(edges: DataFrame, model: Model) -> DataFrame:
         put = F.concat(F.slice(c, F.lit(1), x["s"]), F.array(x["id"]), F.array_repeat(F.lit(-2), x["e"] - x["s"] - 1), F.slice(c, x["e"] + 1, F.size(c)))
         return F.when(ok, put).otherwise(c)
 
-    step = edges.select("*", F.when(n <= 62, bits).alias("bits"), F.when(n > 62, F.aggregate(sorted_edges, begun, merge_array)).alias("symbols"))
-    step = step.select("h", "unit", "n", "edges", "symbols", F.when(n <= 62, short).alias("starts"))
+    step = edges.select("*", F.aggregate(sorted_edges, begun, merge_array).alias("symbols"))
     spelled = F.flatten(F.transform("symbols", lambda x, i: F.when(x == -2, F.array().cast("array<int>")).when(x == -1, _spelled(F.substring(F.col("unit"), i + 1, F.lit(1)), model)).otherwise(F.array(x))))
-    ids = F.when(n <= 62, _ids(F.col("starts"), n, F.col("unit"), F.col("edges"), model)).otherwise(spelled)
-    return step.select("h", "unit", "n", ids.alias("ids"))
+    return step.select("h", "unit", "n", spelled.alias("ids"))
+
+
+#: An edge of a short unit as one long: rank order, start, end, id.
+_RANK, _START, _END, _ID = 1 << 36, 1 << 28, 1 << 20, (1 << 20) - 1
+SHORT = 62
+
+
+def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: Model) -> DataFrame:
+    """The BPE fold of units of up to SHORT characters: edges are packed longs, symbol borders the bits of a long."""
+    order = sorted(pieces, key=lambda x: (-x[2], x[1]))
+    rows = [(p.replace(SPACE, " "), r * _RANK + i) for r, (p, i, _) in enumerate(order)]
+    table = units.sparkSession.createDataFrame([*rows, ("", len(order) * _RANK)], "piece string, packed long")
+    size = F.length("unit")
+    starts = units.select("h", "unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
+    parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(model.longest), size - F.col("s")))).alias("l"))
+    parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
+    edge = F.col("packed") + F.col("s") * F.lit(_START) + (F.col("s") + F.col("l")) * F.lit(_END)
+    edges = parts.join(F.broadcast(table), "piece").select("h", "unit", "n", edge.alias("x")).groupBy("h", "unit", "n").agg(F.collect_list("x").alias("x"))
+
+    one = F.lit(1).cast("long")
+    left = lambda v, k: F.call_function("shiftleft", v, k)
+    right = lambda v, k: F.call_function("shiftright", v, F.lit(k))
+    s_of = lambda x: right(x, 28).bitwiseAND(F.lit(255)).cast("int")
+    e_of = lambda x: right(x, 20).bitwiseAND(F.lit(255)).cast("int")
+    ends = lambda x: left(one, s_of(x)).bitwiseOR(left(one, e_of(x)))
+    inner = lambda x: left(one, e_of(x)) - left(one, s_of(x) + 1)
+
+    def merge(c: Column, x: Column) -> Column:
+        return F.when((c.bitwiseAND(ends(x)) == ends(x)) & (F.bit_count(c.bitwiseAND(inner(x))) == 1), c.bitwiseAND(F.bitwise_not(inner(x)))).otherwise(c)
+
+    n = F.length("unit")
+    step = edges.select("*", F.aggregate(F.array_sort(F.filter("x", lambda x: e_of(x) - s_of(x) > 1)), left(one, n + 1) - 1, merge).alias("bits"))
+    bits = F.col("bits")
+    used = F.filter("x", lambda x: (e_of(x) > s_of(x)) & (bits.bitwiseAND(ends(x)) == ends(x)) & (bits.bitwiseAND(inner(x)) == 0))
+    step = step.select("*", used.alias("used"))
+    covered = F.aggregate("used", F.lit(0), lambda acc, x: acc + e_of(x) - s_of(x))
+    ids = F.transform(F.array_sort(F.transform("used", lambda x: s_of(x) * F.lit(_END) + x.bitwiseAND(F.lit(_ID)))), lambda y: y.bitwiseAND(F.lit(_ID)).cast("int"))
+    starts_of = F.filter(F.sequence(F.lit(0), n - 1), lambda p: F.call_function("shiftright", bits, p).bitwiseAND(one) == 1)
+    spelled = _ids(starts_of, n, F.col("unit"), F.transform("used", lambda x: F.struct(s_of(x).alias("s"), e_of(x).alias("e"), x.bitwiseAND(F.lit(_ID)).cast("int").alias("id"))), model)
+    return step.select("h", "unit", "n", F.when(covered == n, ids).otherwise(spelled).alias("ids"))
 
 
 def _viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
@@ -284,8 +310,16 @@ def _viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
 
 def encoded_units(docs: DataFrame, model: Model) -> DataFrame:
     """(h, unit, n, ids): the distinct units of the texts with their ids."""
-    edges = lattice(distinct_units(_plain(docs), model), piece_table(docs.sparkSession, model), model.longest)
-    return (_viterbi_fold if model.kind == UNIGRAM else _merge_fold)(edges, model)
+    units = distinct_units(_plain(docs), model)
+    table = piece_table(docs.sparkSession, model)
+    if model.kind == UNIGRAM:
+        return _viterbi_fold(lattice(units, table, model.longest), model)
+    units = shared.stored(units, "units-distinct")
+    # a small table of units is read in few parts: deal it out again for the work that follows
+    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = units.repartition(n, "h")
+    long = _merge_fold(lattice(units.filter(F.length("unit") > SHORT), table, model.longest), model)
+    return _short_fold(units.filter(F.length("unit") <= SHORT), model.pieces, model).unionByName(long)
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -302,7 +336,14 @@ def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> Dat
     model = model or Model.load()
     spark = docs.sparkSession
     kind, prefix = model.classes(), model.prefix
-    units = shared.stored(encoded_units(docs, model).select("h", "n", F.octet_length("unit").alias("bytes"), "ids"), "units")
+    # groups are small and many: keep up to this many of a task in its hash map before sorting
+    limit = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "65536")
+    try:
+        units = shared.stored(encoded_units(docs, model).select("h", "n", F.octet_length("unit").alias("bytes"), "ids"), "units")
+    finally:
+        spark.conf.set(limit, before)
     frequent = units.filter(F.col("bytes") <= HEAD_BYTES).orderBy(F.desc("n"), "h").limit(head).select("h", "ids")
     top = frequent.toArrow().combine_chunks()  # at most ``head`` units of HEAD_BYTES bytes
     lists = top.column("ids").combine_chunks() if top.num_rows else pa.array([], pa.list_(pa.int32()))
