@@ -15,7 +15,8 @@ def _whole_number(x: Column, pattern: str, low: int, high: int) -> Column:
     """A number of digits only, within bounds; anything else is 0.  Leading zeros don't count towards the 38 digits of a decimal."""
     bare = F.regexp_replace(x, r"^([+-]?)0+(?=[0-9])", "$1")
     value = F.when(x.rlike(pattern) & (F.length(bare) <= 38), bare.try_cast("decimal(38,0)"))
-    return F.coalesce(F.when(value.between(low, high), value), F.lit(0))
+    whole = lambda n: F.lit(str(n)).cast("decimal(38,0)")
+    return F.coalesce(F.when(value.between(whole(low), whole(high)), value), whole(0))
 
 
 def u64(x: Column, exact: bool = False) -> Column:

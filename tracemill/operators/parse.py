@@ -32,16 +32,23 @@ def properties(text: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast(PROPERTIES)).otherwise(F.transform(found, one).cast(PROPERTIES))
 
 
+def once(**columns: Column) -> Column:
+    """Columns that are computed once a row, however often later filters and projections use them.
+
+    A generator of one row stands between: Catalyst neither pushes predicates on these columns
+    below it nor copies their expressions into each use.
+    """
+    return F.inline(F.array(F.struct(*[x.alias(c) for c, x in columns.items()])))
+
+
 def parse_events(events: DataFrame, body: str = "body") -> DataFrame:
     """Adds time, duration, event, level, props and ``parse_error``; the body is dropped."""
-    text = F.regexp_replace(F.col(body), r"[\r\n]+\z", "")
-    step = events.withColumn("_text", text)
+    rest = [c for c in events.columns if c != body]
+    step = events.select(*rest, once(_text=F.regexp_replace(F.col(body), r"[\r\n]+\z", "")))
     part = lambda k: F.regexp_extract("_text", HEADER, k)
-    out = step.select(
-        *[c for c in events.columns if c != body], part(1).alias("time"), S.canonical_duration(part(2)).alias("duration"), part(3).alias("event"),
-        part(4).alias("level"), part(5).alias("_rest"), (~F.col("_text").rlike(HEADER)).alias("parse_error"),
-    )
-    return out.withColumn("props", properties(F.col("_rest"))).drop("_rest")
+    return step.select(*rest, once(
+        time=part(1), duration=S.canonical_duration(part(2)), event=part(3), level=part(4), props=properties(part(5)), parse_error=~F.col("_text").rlike(HEADER),
+    ))
 
 
 def read_texts(files: DataFrame) -> DataFrame:
@@ -54,9 +61,13 @@ def read_texts(files: DataFrame) -> DataFrame:
 
 def first_wins(props: Column) -> Column:
     """map<string,string> with the first value of each name."""
-    names = F.transform(props, lambda p: p["name"])
-    kept = F.filter(props, lambda p, i: F.array_position(names, p["name"]) == i + 1)
-    return F.map_from_entries(F.transform(kept, lambda p: F.struct(p["name"], p["value"])))
+    none = F.struct(F.array().cast("array<string>").alias("k"), F.array().cast("array<string>").alias("v"))
+
+    def add(acc: Column, p: Column) -> Column:
+        more = F.struct(F.array_append(acc["k"], p["name"]).alias("k"), F.array_append(acc["v"], p["value"]).alias("v"))
+        return F.when(F.array_contains(acc["k"], p["name"]), acc).otherwise(more)
+
+    return F.aggregate(props, none, add, lambda acc: F.map_from_arrays(acc["k"], acc["v"]))
 
 
 def last_wins(props: Column) -> Column:
@@ -73,7 +84,7 @@ def to_bench(raw: DataFrame) -> DataFrame:
 
 def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = True) -> DataFrame:
     """The wide table of 50 columns (and ``event_date`` to partition by)."""
-    step = raw.withColumn("_m", first_wins(F.col("props")))
+    step = raw.select(*[c for c in raw.columns if c != "props"], once(_m=first_wins(F.col("props"))))
     get = lambda name: S.map_get(F.col("_m"), name)
     text = {c: get(p) for c, p in HOT.items()} | {c: S.first_nonempty(*map(get, names)) for c, names in FIRST_OF.items()}
     typed = {c: f for kind, f in (("u64", S.u64), ("u32", S.u32), ("u8", S.u8), ("i64", S.i64)) for c in TYPED[kind] for f in [f]}
@@ -94,8 +105,7 @@ def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = Tru
 
 def with_fingerprint(rich: DataFrame, text: str = "sql_text") -> DataFrame:
     """Adds sql_norm, sql_norm_hash, param_count and sql_params; only non-empty texts are lexed."""
-    f = F.when(F.col(text) != "", fingerprint(F.col(text)))
-    out = rich.withColumn("_f", f)
+    out = rich.withColumn("_f", F.when(F.col(text) != "", fingerprint(F.col(text))))
     has = F.col("_f").isNotNull()
     return out.select(
         *rich.columns, F.coalesce("_f.norm", F.lit("")).alias("sql_norm"), F.when(has, F.xxhash64("_f.norm")).otherwise(F.lit(0)).cast("bigint").alias("sql_norm_hash"),

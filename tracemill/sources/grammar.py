@@ -30,15 +30,16 @@ def is_event_start(data: bytes) -> bool:
     return _START.match(data) is not None
 
 
-def event_starts(data: bytes, begin: int = 0) -> list[int]:
+def event_starts(data: bytes, begin: int = 0, end: int | None = None) -> list[int]:
     """Places of the events; a mask counts at the start of a line only."""
-    return [m.start() for m in _START.finditer(data, begin)]
+    return [m.start() for m in _START.finditer(data, begin, len(data) if end is None else end)]
 
 
 def split_events(data: bytes) -> list[tuple[int, int]]:
     """(start, end) of each event of a whole file; what stands before the first is dropped."""
-    at = event_starts(data)
-    return list(zip(at, [*at[1:], len(data)], strict=True))
+    at = event_starts(data.removeprefix(b"\xef\xbb\xbf"))
+    at = [k + 3 for k in at] if data.startswith(b"\xef\xbb\xbf") else at
+    return list(zip(at, [*at[1:], len(data)], strict=False))
 
 
 def properties(text: str) -> list[tuple[str, str, bool]]:
