@@ -257,7 +257,7 @@ def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: M
     starts = units.select("h", "unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
     parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(model.longest), size - F.col("s")))).alias("l"))
     parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
-    edge = F.col("packed") + F.col("s") * F.lit(_START) + (F.col("s") + F.col("l")) * F.lit(_END)
+    edge = F.col("packed") + F.col("s").cast("long") * F.lit(_START) + (F.col("s") + F.col("l")).cast("long") * F.lit(_END)
     edges = parts.join(F.broadcast(table), "piece").select("h", "unit", "n", edge.alias("x")).groupBy("h", "unit", "n").agg(F.collect_list("x").alias("x"))
 
     one = F.lit(1).cast("long")
