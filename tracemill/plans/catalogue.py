@@ -170,7 +170,7 @@ _rollup("AGG-4", f"SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period, event, u
 _rollup("AGG-5", f"SELECT {HOUR} AS hour, db_name, {_M}, max(duration_us) AS dur_max, {I('rows_ret')} AS rows_sum FROM f WHERE event = 'DBMSSQL' GROUP BY hour, db_name, sql_text", R.AGG_QUERY, lambda x: x.select("hour", "db_name", "cnt", "dur_sum", "dur_max", "rows_sum"))
 _rollup("AGG-6", f"SELECT {HOUR} AS hour, dbms, {_BUCKET} AS param_bucket, {_M}, {I('param_count')} AS params_sum FROM f WHERE sql_norm <> '' GROUP BY hour, dbms, sql_norm, 3", R.AGG_QUERY2, lambda x: x.select("hour", "dbms", "param_bucket", "cnt", "dur_sum", "params_sum"))
 _rollup("AGG-7", f"SELECT {MIN} AS minute, event, usr, substr(lock_regions, 1, 128) AS lock_regions_short, count(*) AS cnt, {I('duration_us')} AS wait_us_sum, max(duration_us) AS wait_us_max {LOCKED} GROUP BY ALL", R.AGG_LOCKS, lambda x: x.drop("last_at"))
-_add("STR-13", SQL["AGG-3"], lambda s, d: (lambda r: R.merge(R.build(r.filter("connect_id % 2 = 0"), R.AGG_MINUTE).unionByName(R.build(r.filter("connect_id % 2 = 1"), R.AGG_MINUTE)), R.AGG_MINUTE).drop("dur_q", "last_at"))(C.rich(s, d)))
+_add("STR-13", SQL["AGG-3"].removeprefix(_WITH), lambda s, d: (lambda r: R.merge(R.build(r.filter("connect_id % 2 = 0"), R.AGG_MINUTE).unionByName(R.build(r.filter("connect_id % 2 = 1"), R.AGG_MINUTE)), R.AGG_MINUTE).drop("dur_q", "last_at"))(C.rich(s, d)))
 _rich("AGG-1", "SELECT context, count(*) AS n FROM (SELECT replace(context, chr(13), '') AS context FROM f WHERE context <> '') GROUP BY 1", lambda r: r.filter("context <> ''").groupBy(F.replace("context", F.lit("\r"), F.lit("")).alias("context")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "context"))
 _events("STR-16", """WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
 SELECT user_id, min(ts) AS begin, count(*) AS n FROM s GROUP BY user_id, s""", lambda x: x.groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.min("ts").alias("begin"), F.count("*").alias("n")).drop("session_window"))
