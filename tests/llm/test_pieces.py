@@ -17,7 +17,7 @@ def library():
 
 def sample():
     rng = seeded(13)
-    texts = awkward() + [prose(rng, 60), "  two  spaces\n\n\tand   tabs ", "ﬁ ½ 漢字かな 한국어 \x00\x7f", "a▁b", "x" * 200 + "tion" * 40, "1234567 3.14 foo.bar(baz)[0]", "internationalization" * 3, "a" * 61, "b" * 62, "c" * 63]
+    texts = awkward() + [prose(rng, 60), "  two  spaces\n\n\tand   tabs ", "ﬁ ½ 漢字かな 한국어 \x00\x7f", "a▁b", "x" * 200 + "tion" * 40, "1234567 3.14 foo.bar(baz)[0]", "internationalization" * 3, "a" * 59, "d" * 60, "b" * 62, "c" * 63]
     letters = "aeiou rstln  thing tion 09.,;()'\"\n▁éü"
     return texts + ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(120)]
 

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
+from .simhash import xxh64
 from .tokens import Texts, hash_spans, sliced, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -177,14 +178,18 @@ def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFr
                 if total > most:
                     held = [merged()]
                     if len(held[0][0]) > most // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), held[0][2], pa.array(held[0][1])], ["h", "unit", "n"])
+                        yield pa.RecordBatch.from_arrays([held[0][2], pa.array(held[0][1])], ["unit", "n"])
                         held = []
                     total = sum(len(x[0]) for x in held)
         if held:
-            h, n, units = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(h), units, pa.array(n)], ["h", "unit", "n"])
+            _, n, units = merged()
+            yield pa.RecordBatch.from_arrays([units, pa.array(n)], ["unit", "n"])
 
-    return docs.select("text").mapInArrow(run, "h long, unit string, n long").groupBy("h", "unit").agg(F.sum("n").alias("n"))
+    # a task passes each unit on about once, so rows are dealt as they are, in more parts than usual for the work that follows;
+    # the length is an aggregate, so that filters on it don't reach below the exchange and both lengths share it
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.select("text").mapInArrow(run, "unit string, n long").repartition(parts, "unit").groupBy("unit").agg(F.sum("n").alias("n"), F.max(F.length("unit")).alias("size"))
+    return dealt.select(F.xxhash64("unit").alias("h"), "unit", "n", "size")
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -196,12 +201,12 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(h, unit, n, edges): the edges of each unit's lattice, array<struct<rank, s, e, id>>; s and e count characters."""
     size = F.length("unit")
-    starts = units.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
+    starts = units.select("h", "unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
     parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(longest), F.length("unit") - F.col("s")))).alias("l"))
     parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
     edges = parts.join(F.broadcast(pieces), "piece")
     edge = F.struct("rank", "s", (F.col("s") + F.col("l")).alias("e"), "id")
-    return edges.groupBy("h", "unit", "n").agg(F.collect_list(edge).alias("edges"))
+    return edges.groupBy("unit", "h", "n").agg(F.collect_list(edge).alias("edges"))
 
 
 def _spelled(text: Column, model: Model) -> Column:
@@ -245,7 +250,7 @@ def _merge_fold(edges: DataFrame, model: Model) -> DataFrame:
 
 #: An edge of a short unit as one long: rank order, start, end, id.
 _RANK, _START, _END, _ID = 1 << 36, 1 << 28, 1 << 20, (1 << 20) - 1
-SHORT = 62
+SHORT = 60
 
 
 def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: Model) -> DataFrame:
@@ -258,7 +263,7 @@ def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: M
     parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(model.longest), size - F.col("s")))).alias("l"))
     parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
     edge = F.col("packed") + F.col("s").cast("long") * F.lit(_START) + (F.col("s") + F.col("l")).cast("long") * F.lit(_END)
-    edges = parts.join(F.broadcast(table), "piece").select("h", "unit", "n", edge.alias("x")).groupBy("h", "unit", "n").agg(F.collect_list("x").alias("x"))
+    edges = parts.join(F.broadcast(table), "piece").select("h", "unit", "n", edge.alias("x")).groupBy("unit", "h", "n").agg(F.collect_list("x").alias("x"))
 
     one = F.lit(1).cast("long")
     left = lambda v, k: F.call_function("shiftleft", v, k)
@@ -314,12 +319,8 @@ def encoded_units(docs: DataFrame, model: Model) -> DataFrame:
     table = piece_table(docs.sparkSession, model)
     if model.kind == UNIGRAM:
         return _viterbi_fold(lattice(units, table, model.longest), model)
-    units = shared.stored(units, "units-distinct")
-    # a small table of units is read in few parts: deal it out again for the work that follows
-    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = units.repartition(n, "h")
-    long = _merge_fold(lattice(units.filter(F.length("unit") > SHORT), table, model.longest), model)
-    return _short_fold(units.filter(F.length("unit") <= SHORT), model.pieces, model).unionByName(long)
+    long = _merge_fold(lattice(units.filter(F.col("size") > SHORT), table, model.longest), model)
+    return _short_fold(units.filter(F.col("size") <= SHORT), model.pieces, model).unionByName(long)
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -358,7 +359,7 @@ def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> Dat
         for batch in batches:
             for part in sliced(batch):
                 t, at, lead = _units(texts_of(part.column("text")), kind, prefix)
-                h = hash_spans(t, at, np.append(at[1:], t.size), 3).view(np.int64)
+                h = xxh64(t.buf, at, np.append(at[1:], t.size) - at).view(np.int64)
                 k = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
                 there = known[k] == h if len(known) else np.zeros(len(h), bool)
                 sizes = np.where(there, off[k + 1] - off[k], 1) if len(known) else np.ones(len(h), np.int64)
@@ -399,8 +400,10 @@ def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> Dat
     begun = shared.stored(_plain(docs).mapInArrow(first, "rid long, doc_id long, blob binary, holes array<long>, n_bytes long"), "encoded")
     rest = begun.filter(F.size("holes") > 0).select(F.col("rid").alias("_r"), F.explode(F.array_distinct("holes")).alias("_h"))
     rest = rest.distinct().join(units.select("h", "ids"), F.col("_h") == F.col("h")).groupBy("_r").agg(F.collect_list(F.struct("h", "ids")).alias("found"))
-    both = begun.join(rest.hint("shuffle_hash"), F.col("rid") == F.col("_r"), "left").select("doc_id", "blob", "holes", "found", "n_bytes")
-    return both.mapInArrow(last, ENCODED)
+    both = begun.filter(F.size("holes") > 0).join(rest.hint("shuffle_hash"), F.col("rid") == F.col("_r")).select("doc_id", "blob", "holes", "found", "n_bytes")
+    # texts of frequent units only take no part in the shuffle
+    done = begun.filter(F.size("holes") == 0).select("doc_id", "blob", "holes", F.lit(None).cast("array<struct<h:bigint,ids:array<int>>>").alias("found"), "n_bytes")
+    return done.unionByName(both).mapInArrow(last, ENCODED)
 
 
 def decode_ids(ids: np.ndarray, texts: list[bytes | None], prefix: bool) -> str:
