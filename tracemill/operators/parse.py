@@ -21,13 +21,18 @@ def split_events(files: DataFrame, content: str = "content") -> DataFrame:
 
 def properties(text: Column) -> Column:
     """The properties of an event's rest: an array, because names may repeat."""
-    group = lambda k: F.regexp_extract_all(text, F.lit(PROPERTY), F.lit(k))
-    found = F.arrays_zip(group(0).alias("m"), group(1).alias("n"), group(2).alias("s"), group(3).alias("d"), group(4).alias("p"))
-
-    def one(x: Column) -> Column:
-        quote = F.substring(x["m"], F.length(x["n"]) + 2, F.lit(1))
-        value = F.when(quote == "'", F.replace(x["s"], F.lit("''"), F.lit("'"))).when(quote == '"', F.replace(x["d"], F.lit('""'), F.lit('"'))).otherwise(x["p"])
-        return F.struct(x["n"].alias("name"), value.alias("value"), quote.isin("'", '"').alias("quoted"))
+    found = F.regexp_extract_all(text, F.lit(PROPERTY), F.lit(0))
+
+    def one(m: Column) -> Column:
+        name = F.substring_index(m, "=", 1)
+        rest = F.substring(m, F.length(name) + 2, F.length(m))
+        quote = F.substring(rest, 1, 1)
+        plain = F.when(rest.endswith(","), F.substring(rest, F.lit(1), F.length(rest) - 1)).otherwise(rest)
+        # only quoted values, which are few, are matched again for their inside
+        single = F.replace(F.regexp_extract(m, PROPERTY, 2), F.lit("''"), F.lit("'"))
+        double = F.replace(F.regexp_extract(m, PROPERTY, 3), F.lit('""'), F.lit('"'))
+        value = F.when(quote == "'", single).when(quote == '"', double).otherwise(plain)
+        return F.struct(name.alias("name"), value.alias("value"), quote.isin("'", '"').alias("quoted"))
 
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast(PROPERTIES)).otherwise(F.transform(found, one).cast(PROPERTIES))
 
@@ -60,25 +65,18 @@ def read_texts(files: DataFrame) -> DataFrame:
 
 
 def first_wins(props: Column) -> Column:
-    """map<string,string> with the first value of each name."""
-    none = F.struct(F.array().cast("array<string>").alias("k"), F.array().cast("array<string>").alias("v"))
-
-    def add(acc: Column, p: Column) -> Column:
-        more = F.struct(F.array_append(acc["k"], p["name"]).alias("k"), F.array_append(acc["v"], p["value"]).alias("v"))
-        return F.when(F.array_contains(acc["k"], p["name"]), acc).otherwise(more)
-
-    return F.aggregate(props, none, add, lambda acc: F.map_from_arrays(acc["k"], acc["v"]))
-
-
-def last_wins(props: Column) -> Column:
-    return first_wins(F.reverse(props))
+    """map<string,string> with the first value of each name; ``props`` must be a column, not a long expression."""
+    names = props["name"]
+    distinct = F.array_distinct(names)
+    return F.map_from_arrays(distinct, F.transform(distinct, lambda k: F.get(props, (F.array_position(names, k) - 1).cast("int"))["value"]))
 
 
 def to_bench(raw: DataFrame) -> DataFrame:
     """The narrow table: rolling time, saturating duration, all properties in a map (last wins)."""
-    return raw.select(
+    step = raw.select(*[c for c in raw.columns if c != "props"], once(_last=F.reverse("props")))
+    return step.select(
         S.rolling_event_time(F.col("timestamp")).alias("timestamp"), S.saturating_duration(F.col("duration")).alias("duration"),
-        "event", "level", "filename", "file_path", last_wins(F.col("props")).alias("props"),
+        "event", "level", "filename", "file_path", first_wins(F.col("_last")).alias("props"),
     )
 
 
