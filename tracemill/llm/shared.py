@@ -72,3 +72,8 @@ def bitmap(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
 def in_bitmap(bits_of: np.ndarray, h: np.ndarray, bits: int = BITMAP_BITS) -> np.ndarray:
     low = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
     return (bits_of[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this subpackage; call it when no result that reads them is needed any more."""
+    drop_path(spark, f"{shared_dir(spark)}/tracemill")
