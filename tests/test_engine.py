@@ -17,7 +17,7 @@ LINES = ["00:05.000001-7,CALL,1,Usr=a,MName=m,Memory=-5,SessionID=12", "00:06.00
 
 
 def tree(tmp_path):
-    d = tmp_path / "logs" / "rphost_1"
+    d = tmp_path / "logs" / "worker_1"
     d.mkdir(parents=True)
     (d / "25113010.log").write_bytes(b"\xef\xbb\xbf" + "\r\n".join(LINES).encode() + b"\r\n")
     (d / "25113011.log").write_text("\n".join(LINES[:2]) + PAD + "\n")
@@ -87,7 +87,7 @@ def test_rollups_merge(spark, tmp_path):
 
 
 def test_follow_growth_truncation_and_restart(spark, tmp_path):
-    d = tmp_path / "in" / "rphost_1"
+    d = tmp_path / "in" / "worker_1"
     d.mkdir(parents=True)
     log = d / "25113010.log"
     event = lambda i: f"00:{i % 60:02d}.{i:06d}-{i},CALL,1,Usr=u{i}{PAD}\r\n"

@@ -18,7 +18,7 @@ SELECT event_id, ts,
     WHEN 7 THEN CASE WHEN event_id % 16 < 8 THEN 'TTIMEOUT' ELSE 'TDEADLOCK' END ELSE 'CALL' END AS event,
   CAST(floor(abs(value) * 1000) AS BIGINT) * (1 + event_id % 13) AS duration_us,
   CASE WHEN event_id % 11 = 0 THEN '' ELSE concat('u', user_id % 40) END AS usr,
-  concat('rphost', event_id % 3) AS process_name, concat('srv', event_id % 2) AS computer_name,
+  concat('worker', event_id % 3) AS process_name, concat('srv', event_id % 2) AS computer_name,
   CASE WHEN event_id % 9 = 0 THEN '' ELSE event_type END AS method_name, concat('I', event_id % 4) AS iface_name,
   CAST(floor(abs(value) * 1000) AS BIGINT) % 100000 AS cpu_time_us, event_id % 5000 - 2500 AS memory, event_id % 70000 AS memory_peak,
   event_id % 1000 AS in_bytes, event_id % 777 AS out_bytes, event_id % 90 AS session_id, event_id % 50 AS connect_id,
@@ -60,7 +60,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts += [F.lit(f",{name}="), F.col(c).cast("string")]
     for name, value in (("Context", single("context")), ("Sql", single("sql_text")), ("Descr", double("descr")), ("Regions", single("lock_regions")), ("WaitConnections", single("wait_connections")), ("Tail", F.lit("second"))):
         parts += [F.lit(f",{name}="), value]
-    path = F.concat(F.lit("logs\\rphost_"), F.col("pid").cast("string"), F.lit("\\"), F.date_format("ts", "yyMMddHH"), F.lit(".log"))
+    path = F.concat(F.lit("logs\\worker_"), F.col("pid").cast("string"), F.lit("\\"), F.date_format("ts", "yyMMddHH"), F.lit(".log"))
     line = f.select(path.alias("file_path"), F.struct("event_id", F.concat(*parts).alias("line")).alias("x"))
     rows = line.groupBy("file_path").agg(F.sort_array(F.collect_list("x")).alias("x"))
     return rows.select("file_path", F.concat(F.lit("﻿junk before the first event\n"), F.array_join(F.transform("x", lambda v: v["line"]), "\r\n"), F.lit("\r\n")).alias("content"))

@@ -52,7 +52,7 @@ _rich("Q-C5", f"SELECT CASE WHEN usr = '' THEN '(нет)' ELSE usr END AS usr, c
 _rich("Q-C6", f"""SELECT CASE WHEN duration_us < 100000 THEN '1. <0.1с' WHEN duration_us < 500000 THEN '2. 0.1–0.5с' WHEN duration_us < 1000000 THEN '3. 0.5–1с' WHEN duration_us < 3000000 THEN '4. 1–3с'
   WHEN duration_us < 10000000 THEN '5. 3–10с' WHEN duration_us < 60000000 THEN '6. 10–60с' ELSE '7. >60с' END AS bucket, count(*) AS calls {CALLS} GROUP BY 1""", D.duration_histogram)
 _rollup("Q-C7", f"SELECT {MIN} AS time, process_name, max(memory_peak) AS mem_peak {CALLS} GROUP BY 1, 2", R.AGG_MINUTE, D.memory_by_minute)
-_PATH = "concat('logs', chr(92), 'rphost_', pid, chr(92), strftime(ts, '%y%m%d%H'), '.log')"
+_PATH = "concat('logs', chr(92), 'worker_', pid, chr(92), strftime(ts, '%y%m%d%H'), '.log')"
 _rich("Q-C8", f"SELECT ts, usr, method_name, memory_peak, memory, duration_us {CALLS} ORDER BY memory_peak DESC, ts, {_PATH}, session_id, connect_id LIMIT 20", lambda r: D.worst(r, "CALL", "memory_peak", ("ts", "usr", "method_name", "memory_peak", "memory", "duration_us"), 20))
 _rich("Q-C9", f"SELECT ts, usr, session_id, process_name, method_name, duration_us, cpu_time_us {CALLS} ORDER BY duration_us DESC, ts, {_PATH}, session_id, connect_id LIMIT 50", lambda r: D.worst(r, "CALL", "duration_us", ("ts", "usr", "session_id", "process_name", "method_name", "duration_us", "cpu_time_us"), 50))
 
