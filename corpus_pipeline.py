@@ -6,7 +6,7 @@ the columns of documents:
 
 1. quality rules: documents beyond the compression bands or the base rules go;
 2. line dedup: lines that many documents share stay in one of them;
-3. SimHash near-dedup: one document of each class stays;
+3. SimHash near-dedup: one document of each class of near copies (five words, similarity 0.8 or more) stays;
 4. benchmark decontamination: documents that overlap a benchmark item go;
 5. SentencePiece: the ids of each document (doc_id, n_tokens, ids).
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import decontaminate, line_dedup, pieces, quality, shared, simhash
+from tracemill.llm import decontaminate, line_dedup, near_copies, pieces, quality, shared
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
