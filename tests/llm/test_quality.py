@@ -53,3 +53,31 @@ def test_keep_good_carries_columns(spark):
 def test_empty_table(spark):
     assert quality.judge(frame(spark, [])).count() == 0
     assert quality.keep_good(frame(spark, [])).count() == 0
+
+
+def natural():
+    """Real prose of several lengths: Python's own documentation."""
+    from pydoc_data.topics import topics
+
+    out = [topics[k] for k in ("execmodel", "debugger", "formatstrings", "datamodel", "specialnames", "import", "objects", "imaginary") if k in topics]
+    return out + [out[0][:n] for n in (600, 1200, 2500, 5000, 10_000)]
+
+
+def test_natural_prose_is_within_the_bands(spark):
+    got = rows(quality.judge(frame(spark, natural())))
+    assert len(got) > 10
+    old = ((300, 0.45), (600, 0.50), (1200, 0.47), (2500, 0.445), (5000, 0.42), (10_000, 0.405), (20_000, 0.392), (50_000, 0.385), (1 << 62, 0.30))
+    failed = 0
+    for i, t in enumerate(natural()):
+        r, size = got[i], len(t.encode())
+        assert r["ratio"] >= next(low for most, low, _ in quality.BANDS if size <= most), (i, size, r["ratio"])
+        assert r["base_failed"] or r["kept"], (i, size, r)
+        failed += r["kept"] and r["ratio"] < next(low for most, low in old if size <= most)
+    assert failed > 2
+
+
+def test_planted_repetition_is_below_the_bands(spark):
+    base = natural()[0]
+    texts = [(base[: n // 2] + " " + base[100:220] * n)[:n] for n in (600, 1200, 2500, 5000, 10_000, 20_000)]
+    got = rows(quality.judge(frame(spark, texts)))
+    assert all(got[i]["ratio"] < next(low for most, low, _ in quality.BANDS if len(t.encode()) <= most) and not got[i]["kept"] for i, t in enumerate(texts))
