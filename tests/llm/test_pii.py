@@ -57,3 +57,23 @@ def test_odd_rows(spark):
     data = [(None, "x@y.zz", "", "", 0), (1, "x@y.zz", "", "", 0), (1, "x@y.zz", "", "", 0), (1, "1.2.3.4", "", "", 0)]
     got = pii.spans(spark.createDataFrame(data, SCHEMA)).select("doc_id", pii.listed("spans").alias("s")).collect()
     assert sorted((r.doc_id or -1, r.s) for r in got) == [(-1, "email:0:6"), (1, "email:0:6"), (1, "email:0:6"), (1, "ip:0:7")]
+
+
+def test_terms_disclose_from_afar_and_everywhere(spark):
+    rng = seeded(10)
+    plain = lambda n: " ".join(f"p{rng.randrange(300)}" for _ in range(n))
+    texts = [f"{plain(20)} Ann {plain(30)} bob@example.org {plain(9)} (ann)" for _ in range(6)]
+    texts += [f"{plain(5)} é Ann, {plain(5)}"] + [plain(40) for _ in range(200)]
+    df = frame(spark, texts)
+    got = rows(pii.spans(df))
+    for i in range(7):
+        terms = [texts[i][s["start"] : s["end"]] for s in got[i]["spans"] if s["kind"] == 4]
+        assert [x.lower() for x in terms if not x.startswith("p")] == ["ann"] * (2 if i < 6 else 1), i
+    clean = rows(pii.sanitise(df))
+    assert not any("ann" in r["text"].lower() for r in clean.values())
+    assert "[EMAIL]" in clean[0]["text"]
+
+
+def test_terms_of_single_texts_and_copies_stay(spark):
+    texts = ["Zoe wrote to zoe@example.org"] * 5 + ["Liz wrote to liz@example.org", "Liz wrote again"] + [f"w{i} wrote" for i in range(60)]
+    assert all(s["kind"] == 0 for r in pii.spans(frame(spark, texts)).collect() for s in r.spans)

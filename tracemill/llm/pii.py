@@ -2,17 +2,17 @@
 
 Protected entities are e-mail addresses, IP addresses, card and phone numbers,
 found by fixed patterns in whole texts.  A corpus pass then estimates how strongly
-other terms reveal them: for a term t within ``reach`` words of an entity e,
-P(e | t) is the share of the texts holding t that hold it beside e, and
-I(e; t) = log2 P(e | t) / P(e) the information in bits that t gives about e.  Terms
-beyond ``share`` and ``bits`` with at least ``support`` different texts disclose the entity:
-they are generalised, and those beyond ``share_remove`` removed, wherever they stand
-beside it.  Equal texts count once, so copies prove nothing.
+other terms reveal them: for a term t and an entity e, P(e | t) is the share of the
+texts holding t that also hold e, however far apart, and I(e; t) = log2 P(e | t) / P(e) the information
+in bits that t gives about e.  Terms beyond ``share`` and ``bits`` with at least ``support`` different
+texts disclose the entity: they are generalised, and those beyond ``share_remove`` removed,
+wherever they stand in any text, since the statistics cover all of them.  Terms of any length count.
+Equal texts count once, so copies prove nothing; entities of fewer than ``support`` texts can have no such term.
 
 Spans are in code points, end exclusive: ``kind:start:end``.
 
 Defined cases: null and empty texts have no spans; rows that repeat a document get equal
-spans; entities without neighbours have no terms; ties of spans are listed by kind; an empty table
+spans; texts of an entity only have no terms; ties of spans are listed by kind; an empty table
 gives an empty result; ``sanitise`` carries all columns, whatever their names.
 """
 
@@ -45,12 +45,10 @@ DIGITS = re.compile(r"[^0-9]+")
 class Disclosure:
     """Thresholds of the corpus statistics."""
 
-    reach: int = 5
     support: int = 3
     share: float = 0.5
     share_remove: float = 0.9
     bits: float = 4.0
-    min_bytes: int = 4
 
 
 def luhn(digits: str) -> bool:
@@ -111,48 +109,62 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tid"))
 
 
-FOUND = "doc_id long, tid long, starts array<int>, kinds array<tinyint>, ends array<int>, near array<struct<entity:long,term:long,start:int,end:int>>"
+FOUND = "doc_id long, tid long, starts array<int>, kinds array<tinyint>, ends array<int>, entities array<long>"
 
 
-def _found(slim: DataFrame, how: Disclosure) -> DataFrame:
-    """FOUND: base spans of each document, and the terms beside each entity."""
-    near_type = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+def _entity(kind: int, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{kind}:{text}".encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _found(slim: DataFrame) -> DataFrame:
+    """FOUND: base spans of each document, and the hash of each span's entity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch):
-                column = part.column("text")
-                spans = [base_spans(x) for x in column.to_pylist()]
-                some = [i for i, s in enumerate(spans) if s]
-                near: list[list] = [[] for _ in spans]
-                if some:
-                    t = lowered(texts_of(column.take(pa.array(some))))
-                    at, w = chars(t), _terms(t)
-                    h = hash_spans(t, w.start, w.end, 9).view(np.int64)
-                    begin, end = at[w.start], at[w.end]
-                    good = w.end - w.start >= how.min_bytes
-                    for k, i in enumerate(some):
-                        f, l, zero = w.first[k], w.first[k + 1], at[t.off[k]]
-                        b, e = begin[f:l] - zero, end[f:l] - zero
-                        taken = np.zeros(l - f, bool)
-                        places = []
-                        for s, _, stop in spans[i]:
-                            x, y = int(np.searchsorted(e, s, "right")), int(np.searchsorted(b, stop))
-                            taken[x:y] = True
-                            places.append((x, y))
-                        text = column[i].as_py()
-                        for (x, y), (s, kind, stop) in zip(places, spans[i], strict=True):
-                            entity = int.from_bytes(hashlib.blake2b(f"{kind}:{text[s:stop]}".encode(), digest_size=8).digest(), "little", signed=True)
-                            for j in (*range(max(0, x - how.reach), x), *range(y, min(l - f, y + how.reach))):
-                                if not taken[j] and good[f + j]:
-                                    near[i].append({"entity": entity, "term": int(h[f + j]), "start": int(b[j]), "end": int(e[j])})
+                texts = part.column("text").to_pylist()
+                spans = [base_spans(x) for x in texts]
+                entities = [[_entity(k, x[a:b]) for a, k, b in s] for x, s in zip(texts, spans, strict=True)]
                 lists = [pa.array([[x[k] for x in s] for s in spans], pa.list_(kind)) for k, kind in ((0, pa.int32()), (1, pa.int8()), (2, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tid"), *lists, pa.array(near, pa.list_(near_type))], ["doc_id", "tid", "starts", "kinds", "ends", "near"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tid"), *lists, pa.array(entities, pa.list_(pa.int64()))], ["doc_id", "tid", "starts", "kinds", "ends", "entities"])
 
     return slim.mapInArrow(run, FOUND)
 
 
-def _texts_with(slim: DataFrame, terms: DataFrame, how: Disclosure) -> DataFrame:
+def _outside(t: Texts, w: Spans, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which terms are not empty and touch no base span, and where all begin and end in code points of their text."""
+    at = chars(t)
+    begin, end = at[w.start] - at[t.off[w.doc]], at[w.end] - at[t.off[w.doc]]
+    free = w.end > w.start
+    for i, text in enumerate(texts):
+        f, l = w.first[i], w.first[i + 1]
+        for s, _, stop in base_spans(text):
+            free[f + int(np.searchsorted(end[f:l], s, "right")) : f + int(np.searchsorted(begin[f:l], stop))] = False
+    return free, begin, end
+
+
+def _terms_of(slim: DataFrame, tids: DataFrame) -> DataFrame:
+    """(tid, terms): the distinct terms outside base spans of the texts with a given tid; a bitmap of fixed size leaves most others out before the join."""
+    bits = slim.sparkSession.sparkContext.broadcast(shared.bitmap(tids, "tid"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tid = np.asarray(batch.column("tid")).view(np.uint64)
+            _, once = np.unique(tid, return_index=True)
+            once = np.sort(once[shared.in_bitmap(bits.value, tid[once])])
+            for part in sliced(batch.take(pa.array(once))):
+                t = lowered(texts_of(part.column("text")))
+                w = _terms(t)
+                free, _, _ = _outside(t, w, part.column("text").to_pylist())
+                h = hash_spans(t, w.start, np.maximum(w.start, w.end), 9).view(np.int64)
+                terms = [np.unique(h[f:l][free[f:l]]) for f, l in zip(w.first, w.first[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part.column("tid"), pa.array(terms, pa.list_(pa.int64()))], ["tid", "terms"])
+
+    found = slim.select("text", "tid").mapInArrow(run, "tid long, terms array<long>")
+    return found.join(tids, "tid", "left_semi").groupBy("tid").agg(F.first("terms").alias("terms"))
+
+
+def _texts_with(slim: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, tid) of the texts that hold a term; a bitmap of fixed size leaves most others out before the join."""
     bits = slim.sparkSession.sparkContext.broadcast(shared.bitmap(terms, "term"))
 
@@ -161,7 +173,7 @@ def _texts_with(slim: DataFrame, terms: DataFrame, how: Disclosure) -> DataFrame
             for part in sliced(batch):
                 t = lowered(texts_of(part.column("text")))
                 w = _terms(t)
-                good = np.flatnonzero(w.end - w.start >= how.min_bytes)
+                good = np.flatnonzero(w.end > w.start)
                 h = hash_spans(t, w.start[good], w.end[good], 9)
                 hit = shared.in_bitmap(bits.value, h)
                 h, doc = h[hit].view(np.int64), w.doc[good[hit]]
@@ -174,32 +186,57 @@ def _texts_with(slim: DataFrame, terms: DataFrame, how: Disclosure) -> DataFrame
     return slim.select("text", "tid").mapInArrow(run, "term long, tid long").join(terms, "term", "left_semi")
 
 
-def _analysed(docs: DataFrame, how: Disclosure) -> tuple[DataFrame, DataFrame]:
-    """Found rows, and (entity, term, remove) of the terms that disclose an entity."""
+def _places(slim: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, tid, term, start, end): each place of a term outside base spans; terms the bitmap lets through by chance are left to a join."""
+    bits = slim.sparkSession.sparkContext.broadcast(shared.bitmap(terms, "term"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch):
+                t = lowered(texts_of(part.column("text")))
+                w = _terms(t)
+                h = hash_spans(t, w.start, np.maximum(w.start, w.end), 9)
+                hit = shared.in_bitmap(bits.value, h) & (w.end > w.start)
+                held = np.zeros(t.n, bool)
+                held[w.doc[hit]] = True
+                texts = part.column("text").to_pylist()
+                free, begin, end = _outside(t, w, [x if held[i] else "" for i, x in enumerate(texts)])
+                k = np.flatnonzero(hit & free)
+                doc = pa.array(w.doc[k])
+                cols = [part.column("doc_id").take(doc), part.column("tid").take(doc), pa.array(h[k].view(np.int64)), pa.array(begin[k].astype(np.int32)), pa.array(end[k].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "tid", "term", "start", "end"])
+
+    return slim.mapInArrow(run, "doc_id long, tid long, term long, start int, end int")
+
+
+def _analysed(docs: DataFrame, how: Disclosure) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The narrow documents, found rows, and (term, remove) of the terms that disclose an entity."""
     slim = _narrow(docs)
-    found = shared.stored(_found(slim, how), "pii-found")
-    near = found.filter(F.size("near") > 0).select("tid", F.explode("near").alias("x")).select("tid", "x.entity", "x.term").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= how.support)
-    # a term is held by at least the texts that hold it beside some entity: a cheap bound that already rules most pairs out
-    beside = near.select("tid", "term").distinct().groupBy("term").agg(F.count("*").alias("beside"))
+    found = shared.stored(_found(slim), "pii-found")
+    entities = found.filter(F.size("entities") > 0).select("tid", F.explode("entities").alias("entity")).distinct()
+    counted = entities.groupBy("entity").agg(F.count("*").alias("of_entity")).filter(F.col("of_entity") >= how.support)
+    counted = shared.stored(counted, "pii-entities")
+    entities = shared.stored(entities.join(counted.select("entity"), "entity", "left_semi").groupBy("tid").agg(F.collect_list("entity").alias("entities")), "pii-texts")
+    held_by = shared.stored(_terms_of(slim, entities.select("tid")).join(entities, "tid"), "pii-terms")
+    pairs = held_by.select("entities", F.explode("terms").alias("term")).select(F.explode("entities").alias("entity"), "term")
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= how.support)
+    # a term is held by at least the texts that hold it and some entity: a cheap bound that already rules most pairs out
+    beside = held_by.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("beside")).filter(F.col("beside") >= how.support)
     pairs = pairs.join(beside, "term").filter(F.col("both") >= how.share * F.col("beside")).drop("beside")
     pairs = shared.stored(pairs, "pii-pairs")
-    terms = pairs.select("term").distinct()
-    held = _texts_with(slim, terms, how).distinct().groupBy("term").agg(F.count("*").alias("texts"))
-    entities = near.select("tid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
+    held = _texts_with(slim, pairs.select("term").distinct()).distinct().groupBy("term").agg(F.count("*").alias("texts"))
     total = slim.select("tid").distinct().agg(F.count("*").alias("total"))
-    shares = pairs.join(held, "term").join(entities, "entity").crossJoin(F.broadcast(total))
+    shares = pairs.join(held, "term").join(counted, "entity").crossJoin(F.broadcast(total))
     p = F.col("both") / F.col("texts")
     bits = F.log2(p * F.col("total") / F.col("of_entity"))
-    strong = shares.filter((p >= how.share) & (bits >= how.bits)).select("entity", "term", (p >= how.share_remove).alias("remove"))
-    return found, strong
+    strong = shares.filter((p >= how.share) & (bits >= how.bits)).groupBy("term").agg(F.max(p >= how.share_remove).alias("remove"))
+    return slim, found, shared.stored(strong, "pii-strong")
 
 
 def spans(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
     """(doc_id, tid, spans: array of (start, kind, end, remove)) of each document, in order; kind is the index in KINDS."""
-    found, strong = _analysed(docs, how)
-    near = found.filter(F.size("near") > 0).select("doc_id", "tid", F.explode("near").alias("x")).select("doc_id", "tid", "x.*")
-    terms = near.join(strong.withColumnsRenamed({"entity": "_e", "term": "_t"}), (F.col("entity") == F.col("_e")) & (F.col("term") == F.col("_t")))
+    slim, found, strong = _analysed(docs, how)
+    terms = _places(slim, strong.select("term")).join(strong, "term")
     terms = terms.groupBy("doc_id", "tid", "start", "end").agg(F.max("remove").alias("remove"))
     terms = terms.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("start", F.lit(4).cast("tinyint").alias("kind"), "end", "remove")).alias("terms"))
     terms = terms.withColumnsRenamed({"doc_id": "_d", "tid": "_t"})
