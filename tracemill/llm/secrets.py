@@ -1,9 +1,10 @@
 """Secret scans with a battery of randomness tests (operator 8), in DataFrame functions only.
 
 Base kinds are fixed patterns: assignments of secrets, access key ids, long hex strings.
-The method adds ``random`` spans: long tokens with digits whose encoding can be inferred
+The method adds ``random`` spans: long tokens whose encoding can be inferred
 (hex, base32, base36, base64) and that pass as uniform random strings of that
-alphabet.  Three tests of that hypothesis are made for each token: chi-squared
+alphabet.  Beside whole tokens, the long parts between their - _ / + are tested by their own
+alphabets, and UUIDs by their joined digits; a random span within another is left out.  Three tests of that hypothesis are made for each token: chi-squared
 uniformity of the symbols, the runs test of symbols above and below the middle, and
 the lag-one serial correlation; the token's p-value is three times the smallest.
 Tokens that are not random are the discoveries, and Benjamini-Hochberg control within length
@@ -33,7 +34,9 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?=[pstaPSTA])(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 characters or more: shorter runs hold no longer match
 HEX = r"[0-9a-f]{24,}"  # [0-9a-f]+ of 24 characters or more, likewise
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+PART = r"(?<![A-Za-z0-9])(?:(?<=[+/_-])[A-Za-z0-9]{20,}+|[A-Za-z0-9]{20,}+(?=[+/_-]))"
+UUID = r"(?<![A-Za-z0-9])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])"
 SMALL = "0123456789abcdefghijklmnopqrstuvwxyz"
 LARGE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Length classes of the false-discovery control: lower bounds.
@@ -143,18 +146,23 @@ def discard_from(found: DataFrame, q: float = Q) -> list[int]:
 def _matched(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     step = docs.select(*[docs[c] for c in carry], text.alias("_text"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN}
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN, "part": PART, "uuid": UUID}
     step = step.select("*", *[F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_{k}") for k, p in patterns.items()])
     step = step.select(*carry, *[_placed(F.col("_text"), F.col(f"_{k}"), p).alias(f"_{k}") for k, p in patterns.items()])
     good = F.filter("_assign", lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 6)
-    return step.select(*carry, good.alias("assign"), F.col("_access").alias("access"), F.col("_hex").alias("hex"), _scored(F.col("_random")).alias("random"))
+    joined = F.transform("_uuid", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.replace(x["m"], F.lit("-"), F.lit("")).alias("m")))
+    tokens = F.concat("_random", "_part", joined)
+    return step.select(*carry, good.alias("assign"), F.col("_access").alias("access"), F.col("_hex").alias("hex"), _scored(tokens).alias("random"))
 
 
 def scan(docs: DataFrame, q: float = Q, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and ``spans``: array<struct<start, kind, end>> in order; kind is the index in KINDS."""
     found = shared.stored(_matched(docs, carry), "secrets")
     least = F.array(*map(F.lit, discard_from(found, q)))
-    random = F.filter("random", lambda x: _bin_of(x["p"]) < F.get(least, _class_of(x["length"])))
+    passed = F.filter("random", lambda x: _bin_of(x["p"]) < F.get(least, _class_of(x["length"])))
+    found = found.withColumn("random", F.array_distinct(F.transform(passed, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))))
+    within = lambda x, y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (y["end"] - y["start"] > x["end"] - x["start"])
+    random = F.filter("random", lambda x: ~F.exists("random", lambda y: within(x, y)))
 
     def of_kind(spans: Column, kind: int) -> Column:
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
