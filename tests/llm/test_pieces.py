@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -57,6 +58,17 @@ def test_unigram_is_viterbi(spark):
 def test_odd_rows(spark, library):
     assert pieces.encode(frame(spark, [])).count() == 0
     df = spark.createDataFrame([(None, "x y", "", "", 0), (1, "x y", "", "", 0), (1, "x y", "", "", 0), (1, "z", "", "", 0)], SCHEMA)
-    got = sorted((r.doc_id or -1, r.n_tokens) for r in pieces.digests(pieces.encode(df, head=1)).collect())
+    got = sorted((r.doc_id or -1, r.n_tokens) for r in pieces.digests(df, head=1).collect())
     assert got == [(-1, 2), (1, 1), (1, 2), (1, 2)]
-    assert pieces.decode_ids(np.array(library.encode(" a")), pieces.Model.load().texts, True) == " a"
+    ids = np.array(library.encode(" a"))
+    assert pieces.Speller(pieces.Model.load()).texts(ids, np.array([0, len(ids), len(ids)])) == [b" a", b""]
+
+
+def test_digests_equal_the_library(spark, library):
+    texts = sample() + ["long text " * 300_000]  # more than one slice
+    got = rows(pieces.digests(frame(spark, texts), head=50))
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "")
+        assert got[i]["n_tokens"] == len(ids)
+        assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+        assert got[i]["text_sha256"] == hashlib.sha256((t or "").replace("▁", " ").encode()).hexdigest()

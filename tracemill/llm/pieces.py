@@ -1,9 +1,8 @@
 """SentencePiece encoding and decoding over a relational lattice (operator 2).
 
 Texts are normalised as the model says (a space becomes U+2581, one is put in front) and
-cut into units at places that no piece of the vocabulary crosses: before a run of spaces, and
-between classes of characters that no piece mixes.  Encoding a unit is then independent of its
-neighbours, so only distinct units are encoded:
+cut into units between any two characters that no piece holds side by side: no merge and no
+path crosses such a place, so encoding a unit is independent of its neighbours, and only distinct units are encoded:
 
 1. the distinct units of the corpus with their counts;
 2. their substrings of bounded length, exploded and equi-joined with the piece table (its size
@@ -12,8 +11,8 @@ neighbours, so only distinct units are encoded:
    ``aggregate``.  For unigram models the fold is Viterbi.  A BPE model is not encoded by the
    best path: its fold takes the edges in order of rank and merges where exactly two symbols
    are left between its ends, which gives what the library gives;
-4. the most frequent units (at most HEAD of at most HEAD_BYTES bytes: a fixed bound) are broadcast and put in
-   while the texts are read once; all other units are joined by shuffle, exactly.
+4. the most frequent units (at most HEAD of at most HEAD_BYTES bytes: a fixed bound) are broadcast and numbered;
+   texts are shuffled once as compressed numbers of units, and meet the ids of their other units, which a join by hash finds, exactly.
 
 Characters without a piece become byte pieces, so decoding gives the text back, with U+2581 read as
 a space as SentencePiece does.
@@ -31,18 +30,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
 from .simhash import xxh64
-from .tokens import Texts, hash_spans, sliced, texts_of
+from .tokens import SLICE_BYTES, Texts, hash_spans, sliced, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-HEAD, HEAD_BYTES = 1 << 21, 48
-HOLE = np.uint32(0xFFFFFFFF)
+HEAD, HEAD_BYTES = 1 << 20, 48
+U = np.uint64
 UNIGRAM, BPE = 1, 2
 
 
@@ -109,23 +109,17 @@ class Model:
     def longest(self) -> int:
         return max((len(p) for p, _, _ in self.pieces), default=1)
 
-    def classes(self) -> np.ndarray:
-        """A class for each byte; no piece crosses from one class to another (but from spaces).  Classes that some piece mixes are one."""
-        kind = np.zeros(256, np.int64)
-        for i in range(256):
-            c = chr(i)
-            kind[i] = 1 if i >= 128 or c.isalpha() else 2 if c.isdigit() else 3 if 33 <= i < 127 else 4
-        kind[32] = 0
+    def joined(self) -> np.ndarray:
+        """256 x 256: whether some piece has a byte next to another.  Between two characters that no piece joins nothing is ever merged."""
+        out = np.zeros((256, 256), bool)
         for text, _, _ in self.pieces:
-            found = {int(kind[b]) for b in text.strip(SPACE).encode()}
-            if SPACE in text.lstrip(SPACE):
-                return np.ones(256, np.int64)  # pieces hold inner spaces: a text is one unit
-            for other in found:
-                kind[kind == other] = min(found)
-        return kind
+            raw = np.frombuffer(text.replace(SPACE, " ").encode(), np.uint8)
+            out[raw[:-1], raw[1:]] = True
+        out[:, 0x80:0xC0] = True  # characters are never cut
+        return out
 
 
-def _units(t: Texts, kind: np.ndarray, prefix: bool) -> tuple[Texts, np.ndarray, np.ndarray]:
+def _units(t: Texts, joined: np.ndarray, prefix: bool) -> tuple[Texts, np.ndarray, np.ndarray]:
     """The texts with their first space, and the starts of their units; the index of each text's first unit (n + 1)."""
     size = np.diff(t.off)
     full = size > 0
@@ -133,9 +127,9 @@ def _units(t: Texts, kind: np.ndarray, prefix: bool) -> tuple[Texts, np.ndarray,
     off = np.concatenate([[0], np.cumsum(size + extra)])
     buf = np.full(int(off[-1]) + 16, 32, np.uint8)
     buf[np.arange(t.size) + np.repeat(np.cumsum(extra), size)] = t.buf[: t.size]
-    k = kind[buf[: off[-1]]]
+    k = buf[: off[-1]]
     start = np.ones(len(k), bool)
-    start[1:] = (k[1:] != k[:-1]) & (k[:-1] != 0)
+    start[1:] = ~joined.ravel()[k[:-1].astype(np.uint16) * np.uint16(256) + k[1:]]
     start[off[:-1][full]] = True
     at = np.flatnonzero(start)
     return Texts(buf, off), at, np.searchsorted(at, off)
@@ -148,7 +142,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFrame:
     """(h, unit, n): distinct units with their counts; a task sums up at most ``most`` units before it passes them on."""
-    kind, prefix = model.classes(), model.prefix
+    joined, prefix = model.joined(), model.prefix
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
@@ -164,7 +158,7 @@ def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFr
 
         for batch in batches:
             for part in sliced(batch):
-                t, at, _ = _units(texts_of(part.column("text")), kind, prefix)
+                t, at, _ = _units(texts_of(part.column("text")), joined, prefix)
                 if not len(at):
                     continue
                 end = np.append(at[1:], t.size)
@@ -192,19 +186,26 @@ def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFr
     return dealt.select(F.xxhash64("unit").alias("h"), "unit", "n", "size")
 
 
-def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, id, rank): rank is the negative score, so that the best comes first; the empty piece keeps units without any edge."""
-    rows = [(p.replace(SPACE, " "), i, -s) for p, i, s in model.pieces]
-    return spark.createDataFrame([*rows, ("", -1, 1e300)], "piece string, id int, rank double")
-
+def _pairs(units: DataFrame, rows: list[tuple], value: str, longest: int) -> DataFrame:
+    """(h, unit, n, s, l, and the value columns): substrings of the units that are pieces.
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(h, unit, n, edges): the edges of each unit's lattice, array<struct<rank, s, e, id>>; s and e count characters."""
+    Substrings are exploded and joined to the piece table (broadcast: its size is the vocabulary's) by a 64-bit hash, which is
+    some four times cheaper than by text; hits are verified on the text.  The empty piece keeps units without any edge.
+    """
     size = F.length("unit")
     starts = units.select("h", "unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
     parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(longest), F.length("unit") - F.col("s")))).alias("l"))
-    parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
-    edges = parts.join(F.broadcast(pieces), "piece")
+    piece = F.substring(F.col("unit"), F.col("s") + 1, F.col("l"))
+    table = units.sparkSession.createDataFrame(rows, f"piece string, {value}").select(F.xxhash64("piece").alias("k"), "*")
+    found = parts.select("*", F.xxhash64(piece).alias("k")).join(F.broadcast(table), "k")
+    # not written as an equality, which would become a second key of the join
+    return found.filter((F.length("piece") == F.col("l")) & F.startswith(piece, F.col("piece"))).drop("k", "piece")
+
+
+def lattice(units: DataFrame, model: Model) -> DataFrame:
+    """(h, unit, n, edges): the edges of each unit's lattice, array<struct<rank, s, e, id>>; rank is the negative score, s and e count characters."""
+    rows = [(p.replace(SPACE, " "), i, -s) for p, i, s in model.pieces]
+    edges = _pairs(units, [*rows, ("", -1, 1e300)], "id int, rank double", model.longest)
     edge = F.struct("rank", "s", (F.col("s") + F.col("l")).alias("e"), "id")
     return edges.groupBy("unit", "h", "n").agg(F.collect_list(edge).alias("edges"))
 
@@ -232,10 +233,10 @@ def _ids(starts: Column, n: Column, unit: Column, edges: Column, model: Model) -
 def _merge_fold(edges: DataFrame, model: Model) -> DataFrame:
     """The BPE fold of long units: at each character the id of the symbol that starts there (-1: no piece), or -2 inside a symbol."""
     n = F.length("unit")
-    sorted_edges = F.array_sort(F.filter("edges", lambda x: x["e"] - x["s"] > 1))
+    sorted_edges = F.sort_array(F.filter("edges", lambda x: x["e"] - x["s"] > 1))
     chars = F.transform(F.filter("edges", lambda x: x["e"] - x["s"] == 1), lambda x: F.struct(x["s"].alias("s"), x["id"].alias("id")))
     missing = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.transform(chars, lambda x: x["s"])), lambda s: F.struct(s.alias("s"), F.lit(-1).alias("id")))
-    begun = F.transform(F.array_sort(F.concat(chars, missing)), lambda x: x["id"])
+    begun = F.transform(F.sort_array(F.concat(chars, missing)), lambda x: x["id"])
 
     def merge_array(c: Column, x: Column) -> Column:
         inner = F.slice(c, x["s"] + 2, x["e"] - x["s"] - 1)
@@ -253,17 +254,13 @@ _RANK, _START, _END, _ID = 1 << 36, 1 << 28, 1 << 20, (1 << 20) - 1
 SHORT = 60
 
 
-def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: Model) -> DataFrame:
+def _short_fold(units: DataFrame, model: Model) -> DataFrame:
     """The BPE fold of units of up to SHORT characters: edges are packed longs, symbol borders the bits of a long."""
-    order = sorted(pieces, key=lambda x: (-x[2], x[1]))
+    order = sorted(model.pieces, key=lambda x: (-x[2], x[1]))
     rows = [(p.replace(SPACE, " "), r * _RANK + i) for r, (p, i, _) in enumerate(order)]
-    table = units.sparkSession.createDataFrame([*rows, ("", len(order) * _RANK)], "piece string, packed long")
-    size = F.length("unit")
-    starts = units.select("h", "unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
-    parts = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 0).otherwise(1), F.least(F.lit(model.longest), size - F.col("s")))).alias("l"))
-    parts = parts.select("h", "unit", "n", "s", "l", F.substring(F.col("unit"), F.col("s") + 1, F.col("l")).alias("piece"))
     edge = F.col("packed") + F.col("s").cast("long") * F.lit(_START) + (F.col("s") + F.col("l")).cast("long") * F.lit(_END)
-    edges = parts.join(F.broadcast(table), "piece").select("h", "unit", "n", edge.alias("x")).groupBy("unit", "h", "n").agg(F.collect_list("x").alias("x"))
+    edges = _pairs(units, [*rows, ("", len(order) * _RANK)], "packed long", model.longest).select("h", "unit", "n", edge.alias("x"))
+    edges = edges.groupBy("unit", "h", "n").agg(F.collect_list("x").alias("x"))
 
     one = F.lit(1).cast("long")
     left = lambda v, k: F.call_function("shiftleft", v, k)
@@ -277,12 +274,12 @@ def _short_fold(units: DataFrame, pieces: list[tuple[str, int, float]], model: M
         return F.when((c.bitwiseAND(ends(x)) == ends(x)) & (F.bit_count(c.bitwiseAND(inner(x))) == 1), c.bitwiseAND(F.bitwise_not(inner(x)))).otherwise(c)
 
     n = F.length("unit")
-    step = edges.select("*", F.aggregate(F.array_sort(F.filter("x", lambda x: e_of(x) - s_of(x) > 1)), left(one, n + 1) - 1, merge).alias("bits"))
+    step = edges.select("*", F.aggregate(F.sort_array(F.filter("x", lambda x: e_of(x) - s_of(x) > 1)), left(one, n + 1) - 1, merge).alias("bits"))
     bits = F.col("bits")
     used = F.filter("x", lambda x: (e_of(x) > s_of(x)) & (bits.bitwiseAND(ends(x)) == ends(x)) & (bits.bitwiseAND(inner(x)) == 0))
     step = step.select("*", used.alias("used"))
     covered = F.aggregate("used", F.lit(0), lambda acc, x: acc + e_of(x) - s_of(x))
-    ids = F.transform(F.array_sort(F.transform("used", lambda x: s_of(x) * F.lit(_END) + x.bitwiseAND(F.lit(_ID)))), lambda y: y.bitwiseAND(F.lit(_ID)).cast("int"))
+    ids = F.transform(F.sort_array(F.transform("used", lambda x: s_of(x) * F.lit(_END) + x.bitwiseAND(F.lit(_ID)))), lambda y: y.bitwiseAND(F.lit(_ID)).cast("int"))
     starts_of = F.filter(F.sequence(F.lit(0), n - 1), lambda p: F.call_function("shiftright", bits, p).bitwiseAND(one) == 1)
     spelled = _ids(starts_of, n, F.col("unit"), F.transform("used", lambda x: F.struct(s_of(x).alias("s"), e_of(x).alias("e"), x.bitwiseAND(F.lit(_ID)).cast("int").alias("id"))), model)
     return step.select("h", "unit", "n", F.when(covered == n, ids).otherwise(spelled).alias("ids"))
@@ -316,11 +313,10 @@ def _viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
 def encoded_units(docs: DataFrame, model: Model) -> DataFrame:
     """(h, unit, n, ids): the distinct units of the texts with their ids."""
     units = distinct_units(_plain(docs), model)
-    table = piece_table(docs.sparkSession, model)
     if model.kind == UNIGRAM:
-        return _viterbi_fold(lattice(units, table, model.longest), model)
-    long = _merge_fold(lattice(units.filter(F.col("size") > SHORT), table, model.longest), model)
-    return _short_fold(units.filter(F.col("size") <= SHORT), model.pieces, model).unionByName(long)
+        return _viterbi_fold(lattice(units, model), model)
+    long = _merge_fold(lattice(units.filter(F.col("size") > SHORT), model), model)
+    return _short_fold(units.filter(F.col("size") <= SHORT), model).unionByName(long)
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -329,14 +325,71 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(place[-1]) + np.repeat(starts - place[:-1], sizes)
 
 
-ENCODED = "doc_id long, ids array<int>, n_bytes long"
-
-
-def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> DataFrame:
-    """ENCODED: the ids of each document."""
-    model = model or Model.load()
+class Head:
+    """The most frequent units, ranked by their counts: their hashes in order with their ranks, and the ids of each rank."""
+
+    def __init__(self, units: DataFrame, most: int):
+        good = units.filter(F.col("bytes") <= HEAD_BYTES).withColumn("bin", F.floor(8 * F.log2("n")).cast("int"))
+        bins = sorted(((r["bin"], r["count"]) for r in good.groupBy("bin").count().collect()), reverse=True)  # at most 8 * 63 rows
+        total, least = 0, None
+        for b, count in bins:  # whole bins, so that nothing is sorted; the rest is joined
+            if total + count > most:
+                break
+            total, least = total + count, b
+        top = good.filter(F.col("bin") >= (1 << 20 if least is None else least)).select("h", "n", "ids").toArrow().combine_chunks()
+        h, n = (np.asarray(top.column(c)).astype(np.int64) if top.num_rows else np.zeros(0, np.int64) for c in ("h", "n"))
+        order = np.lexsort((h, -n))
+        lists = top.column("ids").combine_chunks().take(pa.array(order)) if top.num_rows else pa.array([], pa.list_(pa.int32()))
+        self.ids = np.asarray(lists.flatten()).astype(np.int32)
+        self.off = np.asarray(lists.offsets).astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
+        h = h[order].view(np.uint64)
+        by_hash = np.argsort(h)
+        self.h, self.rank = h[by_hash], by_hash.astype(np.int32)
+        self.shift = U(64 - max(1, int(len(h)).bit_length()))
+        self.lead = np.searchsorted(self.h, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift)
+
+    def ranks(self, h: np.ndarray) -> np.ndarray:
+        """The rank of each hash, -1 if it isn't here."""
+        out = np.full(len(h), -1, np.int64)
+        if not len(self.h):
+            return out
+        at = self.lead[(h >> self.shift).astype(np.int64)]
+        live = np.arange(len(h))
+        while len(live):
+            live = live[at[live] < len(self.h)]
+            have = self.h[at[live]]
+            hit = live[have == h[live]]
+            out[hit] = self.rank[at[hit]]
+            live = live[have < h[live]]
+            at[live] += 1
+        return out
+
+
+#: A document as numbers of units: 2 bytes, or LONG and 4 bytes in a list of their own; from REST on they number the document's other units by hash.
+LONG, REST = 0xFFFF, 1 << 31
+
+
+def _numbered(part: pa.RecordBatch, joined: np.ndarray, prefix: bool, head: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text's units the numbers, and n + 1 offsets; the other units' hashes in order, and n + 1 offsets; bytes."""
+    t, at, lead = _units(texts_of(part.column("text")), joined, prefix)
+    h = xxh64(t.buf, at, np.append(at[1:], t.size) - at)
+    rank = head.ranks(h)
+    hole = np.flatnonzero(rank < 0)
+    own = np.repeat(np.arange(t.n), np.diff(lead))[hole]
+    key = h[hole].view(np.int64)
+    order = np.lexsort((key, own))
+    o, k = own[order], key[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (k[1:] != k[:-1])
+    first = np.searchsorted(o[new], np.arange(t.n + 1))
+    rank[hole[order]] = REST + np.cumsum(new) - 1 - first[o]
+    return rank, lead, k[new], first, np.diff(t.off)
+
+
+def _assembled(docs: DataFrame, model: Model, head: int, finish, schema: str) -> DataFrame:
+    """What ``finish`` makes of the ids of all documents: it takes their doc_ids, flat ids, offsets and bytes, and returns columns of ``schema``."""
     spark = docs.sparkSession
-    kind, prefix = model.classes(), model.prefix
+    joined, prefix = model.joined(), model.prefix
     # groups are small and many: keep up to this many of a task in its hash map before sorting
     limit = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(limit)
@@ -345,96 +398,114 @@ def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> Dat
         units = shared.stored(encoded_units(docs, model).select("h", "n", F.octet_length("unit").alias("bytes"), "ids"), "units")
     finally:
         spark.conf.set(limit, before)
-    frequent = units.filter(F.col("bytes") <= HEAD_BYTES).orderBy(F.desc("n"), "h").limit(head).select("h", "ids")
-    top = frequent.toArrow().combine_chunks()  # at most ``head`` units of HEAD_BYTES bytes
-    lists = top.column("ids").combine_chunks() if top.num_rows else pa.array([], pa.list_(pa.int32()))
-    keys = np.asarray(top.column("h")).astype(np.int64) if top.num_rows else np.zeros(0, np.int64)
-    order = np.argsort(keys)
-    lists = lists.take(pa.array(order))
-    table = spark.sparkContext.broadcast((keys[order], np.asarray(lists.offsets).astype(np.int64), np.asarray(lists.flatten()).astype(np.uint32)))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, off, ids = table.value
+    table = spark.sparkContext.broadcast(Head(units, head))
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, once = np.unique(np.asarray(batch.column("rid")), return_index=True)
+            for part in sliced(batch.take(pa.array(np.sort(once)))):
+                _, _, key, first, _ = _numbered(part, joined, prefix, table.value)
+                rid = part.column("rid").take(pa.array(np.repeat(np.arange(part.num_rows), np.diff(first))))
+                yield pa.RecordBatch.from_arrays([rid, pa.array(key)], ["rid", "h"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in sliced(batch):
-                t, at, lead = _units(texts_of(part.column("text")), kind, prefix)
-                h = xxh64(t.buf, at, np.append(at[1:], t.size) - at).view(np.int64)
-                k = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-                there = known[k] == h if len(known) else np.zeros(len(h), bool)
-                sizes = np.where(there, off[k + 1] - off[k], 1) if len(known) else np.ones(len(h), np.int64)
-                flat = np.append(ids, HOLE)[_ragged(np.where(there, off[k], len(ids)) if len(known) else np.zeros(len(h), np.int64), sizes)]
-                place = np.concatenate([[0], np.cumsum(sizes)])
-                blobs, holes = [], []
-                for i in range(t.n):
-                    a, b = lead[i], lead[i + 1]
-                    blobs.append(z.compress(flat[place[a] : place[b]].tobytes()))
-                    holes.append(h[a:b][~there[a:b]])
-                length = pa.array(np.diff(t.off))
-                rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in holes])]).astype(np.int32)), pa.array(np.concatenate(holes) if holes else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("doc_id"), pa.array(blobs, pa.binary()), rest, length], ["rid", "doc_id", "blob", "holes", "n_bytes"])
+                number, lead, _, _, size = _numbered(part, joined, prefix, table.value)
+                short = np.minimum(number, LONG).astype("<u2")
+                long = number[short == LONG].astype("<u4")
+                cut = np.concatenate([[0], np.cumsum(short == LONG)])[lead]
+                blobs = [z.compress(short[lead[i] : lead[i + 1]].tobytes() + long[cut[i] : cut[i + 1]].tobytes()) for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("doc_id"), pa.array(blobs, pa.binary()), pa.array(np.diff(lead)), pa.array(size)], ["rid", "doc_id", "blob", "n", "n_bytes"])
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                ids = np.frombuffer(z.decompress(batch.column("blob")[i].as_py()), np.uint32)
-                holes = np.asarray(batch.column("holes")[i].values)
-                if len(holes):
-                    found = batch.column("found")[i].values
-                    h, order = np.unique(np.asarray(found.field("h")), return_index=True)
-                    off = np.asarray(found.field("ids").offsets).astype(np.int64)
-                    k = order[np.searchsorted(h, holes)]
-                    sizes = np.ones(len(ids), np.int64)
-                    hole = np.flatnonzero(ids == HOLE)
-                    sizes[hole] = off[k + 1] - off[k]
-                    start = np.arange(len(ids))
-                    start[hole] = len(ids) + off[k]
-                    ids = np.concatenate([ids, np.asarray(found.field("ids").values).astype(np.uint32)])[_ragged(start, sizes)]
-                out.append(ids.astype(np.int32))
-            off = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-            flat = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(off), flat), batch.column("n_bytes")], ["doc_id", "ids", "n_bytes"])
-
-    begun = shared.stored(_plain(docs).mapInArrow(first, "rid long, doc_id long, blob binary, holes array<long>, n_bytes long"), "encoded")
-    rest = begun.filter(F.size("holes") > 0).select(F.col("rid").alias("_r"), F.explode(F.array_distinct("holes")).alias("_h"))
-    rest = rest.distinct().join(units.select("h", "ids"), F.col("_h") == F.col("h")).groupBy("_r").agg(F.collect_list(F.struct("h", "ids")).alias("found"))
-    both = begun.filter(F.size("holes") > 0).join(rest.hint("shuffle_hash"), F.col("rid") == F.col("_r")).select("doc_id", "blob", "holes", "found", "n_bytes")
-    # texts of frequent units only take no part in the shuffle
-    done = begun.filter(F.size("holes") == 0).select("doc_id", "blob", "holes", F.lit(None).cast("array<struct<h:bigint,ids:array<int>>>").alias("found"), "n_bytes")
-    return done.unionByName(both).mapInArrow(last, ENCODED)
-
-
-def decode_ids(ids: np.ndarray, texts: list[bytes | None], prefix: bool) -> str:
-    raw = b"".join(x for i in ids.tolist() if (x := texts[i]) is not None)
-    return (raw[1:] if prefix and raw[:1] == b" " else raw).decode("utf-8", "replace")
+            for part in sliced(batch, "blob", SLICE_BYTES // 4):
+                n = np.asarray(part.column("n"))
+                raw = [z.decompress(x.as_py()) for x in part.column("blob")]
+                short = np.concatenate([np.frombuffer(x, "<u2", k) for x, k in zip(raw, n, strict=True)]).astype(np.int64)
+                short[short == LONG] = np.concatenate([np.frombuffer(x, "<u4", offset=2 * k) for x, k in zip(raw, n, strict=True)])
+                found = part.column("found")
+                base = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(found), 0)))])[:-1]
+                lists = found.flatten().field("ids")
+                off = np.asarray(lists.offsets).astype(np.int64)
+                rest = np.flatnonzero(short >= REST)
+                own = np.repeat(np.arange(len(n)), n)
+                k = short[rest] - REST + base[own[rest]]
+                short[rest] = 0
+                known = table.value
+                start, size = (known.off[short], known.off[short + 1] - known.off[short]) if len(known.h) else (np.zeros(len(short), np.int64), np.zeros(len(short), np.int64))
+                start[rest], size[rest] = len(known.ids) + off[k], off[k + 1] - off[k]
+                flat = np.concatenate([known.ids, np.asarray(lists.values)])[_ragged(start, size)]
+                ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
+                yield pa.RecordBatch.from_arrays(finish(part.column("doc_id"), flat, ends, part.column("n_bytes")), names)
+
+    slim = _plain(docs)
+    # all rows of a hash meet in one task, so the second grouping needs no shuffle
+    found = slim.select("text", "rid").mapInArrow(others, "rid long, h long").join(units.select("h", "ids").hint("shuffle_merge"), "h")
+    found = found.groupBy("rid", "h").agg(F.first("ids").alias("ids")).groupBy(F.col("rid").alias("_r")).agg(F.sort_array(F.collect_list(F.struct("h", "ids"))).alias("found"))
+    blobs = slim.mapInArrow(packed, "rid long, doc_id long, blob binary, n long, n_bytes long")
+    both = blobs.join(found.hint("shuffle_hash"), F.col("rid") == F.col("_r"), "left").select("doc_id", "blob", "n", "found", "n_bytes")
+    return both.mapInArrow(last, schema)
+
+
+ENCODED = "doc_id long, ids array<int>, n_bytes long"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, text_sha256 string"
+
+
+def encode(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> DataFrame:
+    """ENCODED: the ids of each document, and the bytes of its normalised text."""
+
+    def finish(doc_id, flat, ends, n_bytes):
+        return [doc_id, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)), n_bytes]
+
+    return _assembled(docs, model or Model.load(), head, finish, ENCODED)
+
+
+class Speller:
+    """Texts of ids."""
+
+    def __init__(self, model: Model):
+        raw = [x or b"" for x in model.texts]
+        self.size = np.array([len(x) for x in raw], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(raw), np.uint8)
+        self.prefix = model.prefix
+
+    def texts(self, flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each list of ids, without the space put in front."""
+        size = self.size[flat]
+        data = self.data[_ragged(self.start[flat], size)].tobytes()
+        cut = np.concatenate([[0], np.cumsum(size)])[ends].tolist()
+        return [data[a + (self.prefix and data[a : min(a + 1, b)] == b" ") : b] for a, b in zip(cut, cut[1:], strict=False)]
 
 
 def decode(encoded: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows with ``text``, the text of ``ids``."""
-    model = model or Model.load()
-    texts, prefix = model.texts, model.prefix
+    """The rows with ``text``, the text of ``ids`` (null ids: null); bytes that are no UTF-8 are replaced."""
+    speller = Speller(model or Model.load())
 
     @F.pandas_udf("string")
     def text_of(ids):
-        return ids.map(lambda x: decode_ids(np.asarray(x), texts, prefix))
+        flat = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, np.int64) for x in ids if x is not None)])
+        ends = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int64)
+        out = [x.decode("utf-8", "replace") for x in speller.texts(flat, ends)]
+        return type(ids)([None if x is None else t for x, t in zip(ids, out, strict=True)], dtype=object)
 
     return encoded.withColumn("text", text_of("ids"))
 
 
-def digests(encoded: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, text_sha256): of the ids as little-endian integers of 4 bytes, and of the text decoded from them."""
+def digests(docs: DataFrame, model: Model | None = None, head: int = HEAD) -> DataFrame:
+    """DIGESTS of each document: of its ids as little-endian integers of 4 bytes, and of the text decoded from them."""
     model = model or Model.load()
-    texts, prefix = model.texts, model.prefix
+    speller = Speller(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for x in batch.column("ids"):
-                ids = np.asarray(x.values, dtype="<i4")
-                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decode_ids(ids, texts, prefix).encode()).hexdigest()))
-            a, b, c = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "text_sha256"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text_sha256 string")
+    def finish(doc_id, flat, ends, n_bytes):
+        data, cut = flat.astype("<i4").tobytes(), (4 * ends).tolist()
+        ids = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
+        texts = [hashlib.sha256(x).hexdigest() for x in speller.texts(flat, ends)]
+        return [doc_id, pa.array(np.diff(ends)), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+
+    return _assembled(docs, model, head, finish, DIGESTS)

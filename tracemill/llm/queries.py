@@ -19,7 +19,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(pieces.encode(_table(spark, sf_dir, "documents")))
+    return pieces.digests(_table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
