@@ -76,6 +76,30 @@ def test_empty_and_incremental_runs(spark):
     for b in range(5):
         runs.add(spark.createDataFrame([(b, 1, 1), (b, 2, b)], "doc_id long, h1 long, h2 long"))
     assert max(map(len, runs.levels)) < 2
-    got = {(r.h1, r.h2): (r.n_docs, r.max_doc) for r in runs.merged().collect()}
+    assert runs._all(runs.repeats).count() == 4
+    got = {(r.h1, r.h2): (r.n_docs, r.max_doc) for r in runs.common(1).collect()}
     assert got == {(1, 1): (5, 4)} | {(2, b): (1, b) for b in range(5)}
-    assert runs.rows().filter("fresh").count() == 6
+    # the anti-join lets each hash into one run only; what it turns away is counted from the repeats
+    assert runs._all(runs.runs()).count() == 6 and runs._all(runs.repeats).count() == 1
+    assert [(r.h1, r.n_docs) for r in runs.common(2).collect()] == [(1, 5)]
+
+
+def test_runs_meet_without_a_shuffle(spark, capsys):
+    runs = line_dedup.LineRuns(spark)
+    for b in range(2):
+        runs.add(spark.createDataFrame([(b, k, k) for k in range(50 * b, 50 * b + 80)], "doc_id long, h1 long, h2 long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one, two = (spark.table(x) for x in runs.runs())
+        one.join(two.hint("merge"), ["h1", "h2"], "left_anti").explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in capsys.readouterr().out
+    assert {r.n_docs for r in runs.common(2).collect()} == {2} and runs.common(2).count() == 30
+
+
+def test_long_runs_of_blanks_and_a_hot_line(spark):
+    line = " " * 40 + "the line that a third of all documents holds, in any case" + "\t" * 70
+    texts = [line if i % 3 == 0 else f"{i} own text\n" + " " * 50 for i in range(90)] + [("word " * 9 + "\n") * 60_000 + line]
+    got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.line_counts(frame(spark, texts)).collect())
+    assert got == [w[:4] for w in brute(list(enumerate(texts)))]

@@ -42,6 +42,31 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: A key is heavy if it has more than one in HEAVY of all rows, so there are fewer than HEAVY such keys, whatever the input.
+HEAVY = 1024
+
+
+def spread_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str], n: str, how: str = "inner") -> DataFrame:
+    """Join ``left`` with ``right``, which has one row a key and in ``n`` the rows that the key has in ``left``; names don't overlap.
+
+    Heavy keys are broadcast (fewer than HEAVY rows of ``right``), so that their rows stay where they are; all other keys are
+    shuffled, and none of them has more than one in HEAVY of the rows.  Both sides are read twice: give stored tables.  how: inner or left_semi.
+    """
+    total = right.agg(F.sum(n)).head()[0] or 0
+    heavy, light = right.filter(F.col(n) * HEAVY > total), right.filter(F.col(n) * HEAVY <= total)
+    on = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on, strict=True)]
+    rest = left.join(F.broadcast(heavy.select(*right_on)), on, "left_anti")
+    return left.join(F.broadcast(heavy), on, how).unionByName(rest.join(light, on, how))
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores in front until no column of the frames has it."""
+    have = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 #: Bits of a bitmap: its size is fixed (2 MiB at 24), whatever the input.
 BITMAP_BITS = 24
 

@@ -144,16 +144,23 @@ def lines_of(t: Texts) -> Spans:
 
 def stripped(t: Texts, s: Spans) -> Spans:
     """The spans without separators at either end."""
-    word = ~_SPACE[t.buf[: t.size]]
-    at = np.arange(t.size + 1)
-    nxt = np.full(t.size + 1, t.size, np.int64)
-    nxt[: t.size][word] = at[:-1][word]
-    nxt = np.minimum.accumulate(nxt[::-1])[::-1]
-    prv = np.zeros(t.size + 1, np.int64)
-    prv[1:][word] = at[1:][word]
-    prv = np.maximum.accumulate(prv)
-    start = np.minimum(nxt[s.start], s.end)
-    return Spans(start, np.maximum(prv[s.end], start), s.doc, s.first)
+    start, end = s.start.copy(), s.end.copy()
+    left = np.flatnonzero((start < end) & _SPACE[t.buf[start]])
+    right = np.flatnonzero((start < end) & _SPACE[t.buf[end - 1]])
+    for _ in range(16):  # few spans have more
+        start[left] += 1
+        left = left[(start[left] < end[left]) & _SPACE[t.buf[start[left]]]]
+        end[right] -= 1
+        right = right[(start[right] < end[right]) & _SPACE[t.buf[end[right] - 1]]]
+        if not len(left) and not len(right):
+            break
+    else:
+        word = np.flatnonzero(~_SPACE[t.buf[: t.size]])
+        word = np.append(word, t.size)
+        start[left] = np.minimum(word[np.searchsorted(word, start[left])], end[left])
+        before = np.searchsorted(word, end[right]) - 1
+        end[right] = np.where(before >= 0, word[before] + 1, 0)
+    return Spans(start, np.maximum(start, end), s.doc, s.first)
 
 
 def lowered(t: Texts) -> Texts:
