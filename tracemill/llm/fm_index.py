@@ -50,21 +50,32 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    def __init__(self, symbols: np.ndarray):
-        """``symbols``: integers from 0 on, 0 between texts and at the end."""
+    def __init__(self, symbols: np.ndarray, labels: np.ndarray):
+        """``symbols``: integers from 0 on, 0 between texts and at the end; ``labels``: a small number of each place's text.
+
+        Kept are the wavelet matrix, the first rows of symbols and the labels in the order of suffixes, not that order.
+        """
         n = len(symbols)
         rank = symbols.astype(np.int64)
         for width in (1, 2, 4):
             second = np.zeros(n, np.int64)
             second[: max(0, n - width)] = rank[width:]
             _, rank = np.unique(rank * (int(rank.max(initial=0)) + 1) + second, return_inverse=True)
-        self.suffixes = np.argsort(rank, kind="stable")
+        order = np.argsort(rank, kind="stable")
+        self.labels = labels[order]
         sigma = int(symbols.max(initial=0)) + 1
-        self.matrix = WaveletMatrix(symbols[self.suffixes - 1], sigma)
+        self.matrix = WaveletMatrix(symbols[order - 1], sigma)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=sigma))])
         all_symbols = np.arange(sigma)
         self._lead = self.first[:-1] - self.matrix.descend(all_symbols, np.zeros(sigma, np.int64))
 
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest label of each (not empty) interval of suffixes."""
+        labels = np.append(self.labels, self.labels[-1:])
+        pairs, which = np.unique(low.astype(np.int64) * len(labels) + high, return_inverse=True)
+        edges = np.stack([pairs // len(labels), pairs % len(labels)], axis=1).ravel()
+        return np.minimum.reduceat(labels, edges)[::2][which]
+
     def step(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One backward step: the suffix interval of the symbol followed by the pattern of [low, high)."""
         lead = self._lead[symbol]

@@ -50,13 +50,14 @@ def spread_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     """Join ``left`` with ``right``, which has one row a key and in ``n`` the rows that the key has in ``left``; names don't overlap.
 
     Heavy keys are broadcast (fewer than HEAVY rows of ``right``), so that their rows stay where they are; all other keys are
-    shuffled, and none of them has more than one in HEAVY of the rows.  Both sides are read twice: give stored tables.  how: inner or left_semi.
+    shuffled, and none of them has more than one in HEAVY of the rows.  Both sides are read twice: give stored tables.  how: inner, left_semi or left_anti.
     """
     total = right.agg(F.sum(n)).head()[0] or 0
     heavy, light = right.filter(F.col(n) * HEAVY > total), right.filter(F.col(n) * HEAVY <= total)
     on = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on, strict=True)]
     rest = left.join(F.broadcast(heavy.select(*right_on)), on, "left_anti")
-    return left.join(F.broadcast(heavy), on, how).unionByName(rest.join(light, on, how))
+    rest = rest.join(light, on, how)
+    return rest if how == "left_anti" else left.join(F.broadcast(heavy), on, how).unionByName(rest)
 
 
 def unused(name: str, *frames: DataFrame) -> str:

@@ -38,7 +38,7 @@ from . import shared
 from .fm_index import FMIndex
 from .tokens import M1, Texts, grams, hash_spans, mix, sliced, texts_of, words_of
 
-WINDOW, RUN, BLOCK, SHARD = 50, 8, 10, 4096
+WINDOW, RUN, BLOCK, SHARD = 50, 8, 10, 1024
 LAST_ID = (1 << 63) - 1
 _ODD = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
@@ -106,12 +106,12 @@ def _occurrences(slim: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, "a long, c long, doc_id long, tid long, pos int, size int")
 
 
-CONTEXT = "a long, c long, low long, high long, words binary"
+CONTEXT = "a long, c long, low long, high long, n long, words binary"
 
 
 def _with_words(slim: DataFrame, contexts: DataFrame) -> DataFrame:
     """CONTEXT rows: the word hashes (4 bytes each) of each context, cut from the document that stands for it."""
-    rep = contexts.select("rep.*", F.struct("a", "c", "low", "high", "rep.pos", "rep.size").alias("x"))
+    rep = contexts.select("rep.*", F.struct("a", "c", "low", "high", "n", "rep.pos", "rep.size").alias("x"))
     wanted = rep.groupBy(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).agg(F.collect_list("x").alias("wanted"))
     both = slim.join(wanted.hint("shuffle_hash"), (F.col("doc_id") == F.col("_d")) & (F.col("tid") == F.col("_t")))
 
@@ -137,11 +137,14 @@ def _cut(flat: pa.StructArray, start: np.ndarray, h: np.ndarray) -> pa.RecordBat
     data = h[index].astype("<u4").tobytes()
     off = (4 * place).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([*(flat.field(x) for x in ("a", "c", "low", "high")), words], ["a", "c", "low", "high", "words"])
+    return pa.RecordBatch.from_arrays([*(flat.field(x) for x in ("a", "c", "low", "high", "n")), words], ["a", "c", "low", "high", "n", "words"])
 
 
-def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of a shard's contexts that the FM-index finds: context, start in it, smallest ``low`` of all contexts that have the window."""
+def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a shard's contexts that the FM-index finds elsewhere: context, start in it, smallest ``low`` of all contexts that have the window.
+
+    A context of several documents (``low`` below ``high``) is elsewhere too, so its windows may be found in itself.
+    """
     none = np.zeros(0, np.int64)
     n = len(words)
     if n < WINDOW:
@@ -150,7 +153,8 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray) -> tuple[np.
     g = grams(words.astype(np.uint64), BLOCK)
     whole = np.flatnonzero(own[: len(g)] == own[BLOCK - 1 :])
     _, symbol_of, count = np.unique(g[whole], return_inverse=True, return_counts=True)
-    number = np.where(count > 1, np.cumsum(count > 1), 0)  # blocks that occur once can't match: symbol 0
+    count[symbol_of[(high > low)[own[whole]]]] += 1
+    number = np.where(count > 1, np.cumsum(count > 1), 0)  # blocks of one document and place only can't match: symbol 0
     symbol = np.zeros(n, np.int64)
     symbol[whole] = number[symbol_of]
     rel = np.arange(n) - off[own]
@@ -162,7 +166,10 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray) -> tuple[np.
     keep[1:] = (dense[1:] != 0) | (dense[:-1] != 0)
     context = np.repeat(np.arange(len(low)), BLOCK * slots)
     context = np.append(context, len(low) - 1)[keep]
-    index = FMIndex(dense[keep])
+    by_low = np.argsort(low, kind="stable")
+    place_of = np.empty(len(low), np.int32)
+    place_of[by_low] = np.arange(len(low), dtype=np.int32)
+    index = FMIndex(dense[keep], place_of[context])
     at = np.flatnonzero(own[: n - WINDOW + 1] == own[WINDOW - 1 :])
     blocks = WINDOW // BLOCK
     at = at[np.logical_and.reduce([symbol[at + BLOCK * k] > 0 for k in range(blocks)])]
@@ -171,14 +178,10 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray) -> tuple[np.
     at, lo, hi = at[hit], lo[hit], hi[hit]
     if not len(at):
         return none, none, none
-    lows = np.append(low[context[index.suffixes]], LAST_ID)
-    pairs, which = np.unique(lo * len(lows) + hi, return_inverse=True)
-    edges = np.stack([pairs // len(lows), pairs % len(lows)], axis=1).ravel()
-    least = np.minimum.reduceat(lows, edges)[::2]
-    return own[at], rel[at], least[which]
+    return own[at], rel[at], low[by_low[index.least(lo, hi)]]
 
 
-FOUND = "a long, c long, runs array<struct<start:int,stop:int,low:long>>"
+FOUND = "a long, c long, n long, runs array<struct<start:int,stop:int,low:long>>"
 
 
 def _searched(contexts: DataFrame, shard: int) -> DataFrame:
@@ -190,19 +193,8 @@ def _searched(contexts: DataFrame, shard: int) -> DataFrame:
         off = np.concatenate([[0], np.cumsum(size)])
         words = np.frombuffer(b"".join(col.to_pylist()), "<u4")
         low, high = (np.asarray(rows.column(x)) for x in ("low", "high"))
-        own, start, least = matches_of(words, off, low)
-        # windows of contexts that several documents have and that no other context has
-        alone = np.flatnonzero(high > low)
-        if len(alone):
-            n = np.maximum(size[alone] - WINDOW + 1, 0)
-            o = np.repeat(alone, n)
-            s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            own, start, least = np.concatenate([own, o]), np.concatenate([start, s]), np.concatenate([least, low[o]])
-        order = np.lexsort((least, start, own))
-        own, start, least = own[order], start[order], least[order]
-        one = np.ones(len(own), bool)
-        one[1:] = (own[1:] != own[:-1]) | (start[1:] != start[:-1])
-        one &= least < high[own]
+        own, start, least = matches_of(words, off, low, high)
+        one = least < high[own]
         own, start, least = own[one], start[one], least[one]
         if not len(own):
             return
@@ -213,7 +205,7 @@ def _searched(contexts: DataFrame, shard: int) -> DataFrame:
         context, n = np.unique(own[lead], return_counts=True)
         parts = [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
         runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays(parts, ["start", "stop", "low"]))
-        yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c")), runs], ["a", "c", "runs"])
+        yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c", "n")), runs], ["a", "c", "n", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -260,34 +252,36 @@ def _refined(contexts: DataFrame) -> DataFrame:
             cut = np.lib.stride_tricks.sliding_window_view(words, WINDOW)[at]
             take = pa.array(own[at])
             cols = [pa.array(g), pa.array(mix(g.view(np.uint64)).view(np.int64)), *(batch.column(x).take(take) for x in ("a", "c")), pa.array((at - off[own[at]]).astype(np.int32)),
-                    *(batch.column(x).take(take) for x in ("low", "high")), pa.array([x.tobytes() for x in cut], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["ra", "rc", "a", "c", "start", "low", "high", "words"])
+                    *(batch.column(x).take(take) for x in ("low", "high", "n")), pa.array([x.tobytes() for x in cut], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["ra", "rc", "a", "c", "start", "low", "high", "n", "words"])
 
-    return contexts.mapInArrow(run, "ra long, rc long, a long, c long, start int, low long, high long, words binary")
+    return contexts.mapInArrow(run, "ra long, rc long, a long, c long, start int, low long, high long, n long, words binary")
 
 
 def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(doc_id, tid, runs): the runs of windows (first and last start word) of a document that a smaller doc_id has too; tid is xxhash64 of the text."""
     slim = _narrow(docs)
     every = shared.stored(_occurrences(slim), "anchors")
-    common = every.groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("a")
-    own = shared.stored(every.join(common, "a", "left_semi"), "anchors-shared")
-    contexts = own.groupBy("a", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "tid", "pos", "size")).alias("rep"))
+    common = every.groupBy(F.col("a").alias("_a")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+    common = shared.stored(common.filter("low < high").select("_a", "n"), "anchors-common")
+    own = shared.stored(shared.spread_join(every, common, ["a"], ["_a"], "n", "left_semi"), "anchors-shared")
+    contexts = own.groupBy("a", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.min(F.struct("doc_id", "tid", "pos", "size")).alias("rep"))
     contexts = shared.stored(_with_words(slim, contexts), "contexts")
-    hot = shared.stored(contexts.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > shard).select("a"), "contexts-hot")
+    hot = contexts.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("size")).filter(F.col("size") > shard)
+    hot = shared.stored(hot, "contexts-hot")
     if hot.head(1):
-        fine = shared.stored(_refined(contexts.join(hot, "a", "left_semi")), "contexts-fine")
-        one = fine.groupBy(F.col("ra").alias("a"), F.col("rc").alias("c")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("words").alias("words"))
+        fine = shared.stored(_refined(shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_semi")), "contexts-fine")
+        one = fine.groupBy(F.col("ra").alias("a"), F.col("rc").alias("c")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"), F.first("words").alias("words"))
         # a refined context is one window, so it has one run
-        back = _searched(one, shard).select(F.col("a").alias("_ra"), F.col("c").alias("_rc"), F.col("runs")[0]["low"].alias("_low"))
-        back = fine.join(back, (F.col("ra") == F.col("_ra")) & (F.col("rc") == F.col("_rc"))).filter("_low < high")
+        back = _searched(one, shard).select(F.col("a").alias("_ra"), F.col("c").alias("_rc"), F.col("n").alias("size"), F.col("runs")[0]["low"].alias("_low"))
+        back = shared.spread_join(fine, shared.stored(back, "contexts-back"), ["ra", "rc"], ["_ra", "_rc"], "size").filter("_low < high")
         run = F.struct("start", F.col("start").alias("stop"), F.col("_low").alias("low"))
-        back = back.groupBy("a", "c").agg(F.collect_list(run).alias("runs"))
-        found = _searched(contexts.join(hot, "a", "left_anti"), shard).unionByName(back)
+        back = back.groupBy("a", "c").agg(F.first("n").alias("n"), F.collect_list(run).alias("runs"))
+        found = _searched(shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_anti"), shard).unionByName(back)
     else:
         found = _searched(contexts, shard)
-    found = found.withColumnsRenamed({"a": "_a", "c": "_c"})
-    hits = own.join(found, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c")))
+    found = shared.stored(found.withColumnsRenamed({"a": "_a", "c": "_c"}), "contexts-found")
+    hits = shared.spread_join(own, found, ["a", "c"], ["_a", "_c"], "n")
     earlier = F.filter("runs", lambda x: x["low"] < F.col("doc_id"))
     moved = F.transform(earlier, lambda x: F.struct((x["start"] + F.col("pos")).alias("start"), (x["stop"] + F.col("pos")).alias("stop")))
     hits = hits.select("doc_id", "tid", moved.alias("runs")).filter(F.size("runs") > 0)
