@@ -304,12 +304,13 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
     return found.distinct()
 
 
-def components(edges: DataFrame, most: int = 40) -> DataFrame:
+def components(edges: DataFrame, most: int = 200) -> DataFrame:
     """(node, root): the smallest node of each node's class, for the nodes of edges (a, b).
 
     Alternates large-star and small-star steps; each round is written to the
     shared folder.  A star's centre is met by a join that adaptive execution can
     split, and its minimum is pre-aggregated, so hot centres stay spread out.
+    Rounds go on until nothing changes; should ``most`` not be enough, that is an error, never a split class.
     """
     edges = shared.stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "star")
     last = None
@@ -326,18 +327,26 @@ def components(edges: DataFrame, most: int = 40) -> DataFrame:
         if state == last:
             break
         last = state
+    else:
+        raise RuntimeError(f"classes have not settled after {most} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, fp, component_id): the fingerprint and the smallest doc_id of the class of each document."""
     prints = shared.stored(fingerprints(docs, shingle), "simhash-fp")
-    own = shared.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
+    own = shared.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "simhash-distinct")
     tree = components(links(own.select("fp"), radius, bucket))
-    named = own.join(tree, own["fp"] == tree["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(by_fp, F.col("fp") == F.col("_fp")).drop("_fp")
+    named = own.join(tree, own["fp"] == tree["node"], "left").select("fp", "n", "low", F.coalesce("root", "fp").alias("root"))
+    return shared.spread_join(prints, with_least(named, "fp"), ["fp"], ["_fp"], "n").select("doc_id", "fp", "component_id")
+
+
+def with_least(named: DataFrame, key: str) -> DataFrame:
+    """(_key, n, component_id) from (key, n, low, root): the smallest ``low`` of each root's class; hot keys and hot roots are split."""
+    named = shared.stored(named, "classes-named")
+    least = shared.stored(named.groupBy(F.col("root").alias("_root")).agg(F.min("low").alias("component_id"), F.count("*").alias("size")), "classes-least")
+    found = shared.spread_join(named, least, ["root"], ["_root"], "size")
+    return shared.stored(found.select(F.col(key).alias(f"_{key}"), "n", "component_id"), "classes")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
@@ -346,5 +355,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, buck
     Rows that repeat that doc_id stay as they are.  Rows without a doc_id have
     no place in a class and stay.
     """
-    gone = classes(docs, shingle, radius, bucket).filter("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    return without(docs, classes(docs, shingle, radius, bucket).filter("doc_id > component_id"))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among those of ``gone``; all columns."""
+    name = shared.unused("_gone", docs)
+    gone = gone.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == F.col(name), "left_anti")
