@@ -133,8 +133,9 @@ def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int
     tree = simhash.components(simhash.links(own.select("fp").distinct())).select(F.col("node").alias("fp"), "root")
     by_fp = own.select("sid", "fp").join(tree, "fp", "left").select("sid", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key"))
     rows = own.select("sid", F.explode("bands").alias("key")).unionByName(by_fp)
-    many = rows.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low <> high").select("key")
-    rows = shared.stored(rows.join(many, "key", "left_semi"), "near-rows")
+    many = rows.groupBy(F.col("key").alias("_key")).agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("n"))
+    many = shared.stored(many.filter("low <> high").select("_key", "n"), "near-keys")
+    rows = shared.stored(shared.spread_join(rows, many, ["key"], ["_key"], "n", "left_semi"), "near-rows")
     wanted = own.select("sid", "tid").join(rows.select("sid").distinct(), "sid", "left_semi")
     sets = shared.stored(_sets(slim, wanted, shingle), "near-sets")
     tested = classes = None
@@ -163,16 +164,14 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     """(doc_id, sid, component_id): the smallest doc_id of the class of each document."""
     slim = _slim(docs)
     facts = shared.stored(_facts(slim, shingle), "near-facts")
-    own = facts.groupBy("sid").agg(F.min("doc_id").alias("low"), F.min("tid").alias("tid"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
+    own = facts.groupBy("sid").agg(F.min("doc_id").alias("low"), F.min("tid").alias("tid"), F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.count("*").alias("n"))
     own = shared.stored(own, "near-distinct")
     tree = links(slim, own, shingle, percent)
-    named = own.join(tree, own["sid"] == tree["node"], "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_sid = named.join(least, "root").select(F.col("sid").alias("_sid"), "component_id")
-    return facts.select("doc_id", "sid").join(by_sid, F.col("sid") == F.col("_sid")).drop("_sid")
+    named = own.join(tree, own["sid"] == tree["node"], "left").select("sid", "n", "low", F.coalesce("root", "sid").alias("root"))
+    facts = facts.select("doc_id", "sid")
+    return shared.spread_join(facts, simhash.with_least(named, "sid"), ["sid"], ["_sid"], "n").select("doc_id", "sid", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each class, the one with the smallest doc_id; all columns."""
-    gone = classes(docs, shingle, percent).filter("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    return simhash.without(docs, classes(docs, shingle, percent).filter("doc_id > component_id"))
