@@ -137,10 +137,10 @@ def overlaps(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, spac
     bits = spark.sparkContext.broadcast(shared.bitmap(bench, "h"))
     place = bench.select("h", F.col("id").alias("item_id"), F.col("tid").alias("item_tid"), F.col("pos").alias("item_pos")).distinct()
     hits = _document_seeds(slim, sizes, bits).join(place, "h")
-    hits = hits.select("id", "tid", "item_id", "item_tid", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
+    hits = hits.groupBy("id", "tid", "item_id", "item_tid").agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("offsets"))
     words = bench.select(F.col("id").alias("_i"), F.col("tid").alias("_t"), "words").dropDuplicates(["_i", "_t"])
     hits = hits.join(words, F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("item_tid") == F.col("_t")))
-    mine = hits.groupBy(F.col("id").alias("_d"), F.col("tid").alias("_k")).agg(F.collect_list(F.struct("item_id", "offset", "words")).alias("hits"))
+    mine = hits.groupBy(F.col("id").alias("_d"), F.col("tid").alias("_k")).agg(F.collect_list(F.struct("item_id", "offsets", "words")).alias("hits"))
     both = slim.join(mine.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_d")) & (F.col("tid") == F.col("_k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +152,14 @@ def overlaps(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, spac
                     own = h[first[i] : first[i + 1]].view(np.int64)
                     x = part.column("hits")[i].values
                     best: dict = {}
-                    lists, off = x.field("words"), np.asarray(x.field("offset"))
+                    lists, offsets = x.field("words"), x.field("offsets")
                     for k, item in enumerate(x.field("item_id").to_pylist()):
                         w = np.asarray(lists[k].values)
-                        a, b = max(0, int(off[k])), min(len(own), int(off[k]) + len(w))
-                        same = own[a:b] == w[a - off[k] : b - off[k]]
-                        n, different = best_run(same, spacing)
-                        if n >= min(min_words, len(w)) and (n, -different) > best.get(item, (0, 0))[:2]:
-                            best[item] = (n, -different, a)
+                        for off in sorted(offsets[k].as_py()):
+                            a, b = max(0, off), min(len(own), off + len(w))
+                            n, different = best_run(own[a:b] == w[a - off : b - off], spacing)
+                            if n >= min(min_words, len(w)) and (n, -different) > best.get(item, (0, 0))[:2]:
+                                best[item] = (n, -different, a)
                     rows += [(part.column("id")[i].as_py(), part.column("tid")[i].as_py(), item, n, -d, a) for item, (n, d, a) in best.items()]
                 cols = list(zip(*rows, strict=True)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "tid", "item_id", "n_words", "n_different", "start"])
@@ -169,6 +169,7 @@ def overlaps(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, spac
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents without a verified overlap, with all their columns."""
-    gone = overlaps(docs, items, **how).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_k")).distinct()
+    d, k = shared.unused("_d", docs), shared.unused("_k", docs)
+    gone = overlaps(docs, items, **how).select(F.col("doc_id").alias(d), F.col("tid").alias(k)).distinct()
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (key == F.col("_k")), "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col(d)) & (key == F.col(k)), "left_anti")
