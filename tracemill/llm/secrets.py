@@ -145,14 +145,14 @@ def discard_from(found: DataFrame, q: float = Q) -> list[int]:
 
 def _matched(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    step = docs.select(*[docs[c] for c in carry], text.alias("_text"))
+    step = docs.select(F.struct(*[docs[c] for c in carry]).alias("_row"), text.alias("_text"))  # a struct, so that no name clashes
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN, "part": PART, "uuid": UUID}
     step = step.select("*", *[F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_{k}") for k, p in patterns.items()])
-    step = step.select(*carry, *[_placed(F.col("_text"), F.col(f"_{k}"), p).alias(f"_{k}") for k, p in patterns.items()])
+    step = step.select("_row", *[_placed(F.col("_text"), F.col(f"_{k}"), p).alias(f"_{k}") for k, p in patterns.items()])
     good = F.filter("_assign", lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 6)
     joined = F.transform("_uuid", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.replace(x["m"], F.lit("-"), F.lit("")).alias("m")))
     tokens = F.concat("_random", "_part", joined)
-    return step.select(*carry, good.alias("assign"), F.col("_access").alias("access"), F.col("_hex").alias("hex"), _scored(tokens).alias("random"))
+    return step.select("_row", good.alias("assign"), F.col("_access").alias("access"), F.col("_hex").alias("hex"), _scored(tokens).alias("random"))
 
 
 def scan(docs: DataFrame, q: float = Q, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -168,7 +168,8 @@ def scan(docs: DataFrame, q: float = Q, carry: tuple[str, ...] = ("doc_id",)) ->
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
     parts = [of_kind(c, i) for i, c in enumerate((F.col("assign"), F.col("access"), F.col("hex"), random))]
-    return found.select(*carry, F.sort_array(F.concat(*parts)).alias("spans"))
+    own = [F.col("_row").getField(c).alias(c) for c in carry]
+    return found.select(*own, F.sort_array(F.concat(*parts)).alias(shared.unused("spans", docs.select(*carry))))
 
 
 def listed(array: Column) -> Column:
