@@ -27,9 +27,8 @@ def tree(tmp_path):
 
 def test_source_equals_native_parser(spark, tmp_path):
     path = tree(tmp_path)
-    techlog.register(spark)
     for size in ("7", "100000"):
-        raw = spark.read.format("techlog").option("range_bytes", size).load(path)
+        raw = techlog.load(spark, path, range_bytes=size)
         assert raw.count() == 6
     files = [(p, open(p, encoding="utf-8").read() if False else open(p, "rb").read().decode()) for p, _ in techlog.walk(path, 100)[0]]
     native = P.read_texts(spark.createDataFrame([(G.relative_path(p), t) for p, t in files], "file_path string, content string"))
@@ -39,12 +38,11 @@ def test_source_equals_native_parser(spark, tmp_path):
     pruned = raw.filter("file_hour = '2025-11-30T11'")
     assert pruned.count() == 2 and techlog.walk(path, 100)[1] == 1
     reader = techlog.TraceReader(techlog.Options(path))
-    assert list(reader.pushFilters([techlog.EqualTo(("file_hour",), "2025-11-30T11")])) == [] and len(reader.partitions()) == 1
+    assert list(reader.pushFilters([techlog.EqualTo(("file_hour",), "2025-11-30T11")])) == [] and len(reader.partitions()) == 1 and len(reader.partitions()[0].ranges) == 1
 
 
 def test_rich_table(spark, tmp_path):
-    techlog.register(spark)
-    rich = P.to_rich(spark.read.format("techlog").load(tree(tmp_path)).filter("file_hour = '2025-11-30T10'"))
+    rich = P.to_rich(techlog.load(spark, tree(tmp_path)).filter("file_hour = '2025-11-30T10'"))
     assert len(rich.columns) >= 50
     rows = {r.event: r for r in rich.collect()}
     assert str(rows["CALL"].ts) == "2025-11-30 10:00:05.000001" and rows["CALL"].memory == -5 and rows["CALL"].session_id == 12 and rows["CALL"].collection == "logs"
@@ -52,12 +50,11 @@ def test_rich_table(spark, tmp_path):
     assert db.session_id == 0 and db.props == {"SessionID": "1,2", "Odd": "x"} and db.param_count == 2 and db.sql_params == ["1", "2"] and db.sql_norm == "SELECT ? WHERE x IN (?)" or db.param_count == 3
     assert rows["QERR"].context_line == "\tCommon.B : 2 : y" and rows["QERR"].descr == 'a "b"\nline two'
     assert rows["TLOCK"].lock_wait_conns == [7, 9, 0]
-    assert P.to_bench(spark.read.format("techlog").load(str(tmp_path))).filter("event = 'DBMSSQL'").head().props["Odd"] == "y"
+    assert P.to_bench(techlog.load(spark, str(tmp_path))).filter("event = 'DBMSSQL'").head().props["Odd"] == "y"
 
 
 def test_ndjson_round_trip(spark, tmp_path):
-    techlog.register(spark)
-    raw = spark.read.format("techlog").load(tree(tmp_path))
+    raw = techlog.load(spark, tree(tmp_path))
     store.write_ndjson(raw, str(tmp_path / "out"))
     back = store.read_ndjson(spark, str(tmp_path / "out"))
     cols = ("file_path", "timestamp", "duration", "event", "level")
@@ -66,8 +63,7 @@ def test_ndjson_round_trip(spark, tmp_path):
 
 
 def test_store_prunes_and_retains(spark, tmp_path):
-    techlog.register(spark)
-    rich = P.to_rich(spark.read.format("techlog").load(tree(tmp_path)), fingerprints=False)
+    rich = P.to_rich(techlog.load(spark, tree(tmp_path)), fingerprints=False)
     s = store.EventStore(spark, str(tmp_path / "events"))
     s.append(rich)
     s.append(rich.withColumn("event_date", F.date_sub("event_date", 10)))
@@ -77,8 +73,7 @@ def test_store_prunes_and_retains(spark, tmp_path):
 
 
 def test_rollups_merge(spark, tmp_path):
-    techlog.register(spark)
-    rich = P.to_rich(spark.read.format("techlog").load(tree(tmp_path)))
+    rich = P.to_rich(techlog.load(spark, tree(tmp_path)))
     for r in R.ROLLUPS:
         whole = R.build(rich, r)
         parts = R.build(rich.filter("src_file like '%10.log'"), r).unionByName(R.build(rich.filter("src_file not like '%10.log'"), r))

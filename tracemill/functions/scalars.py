@@ -144,8 +144,16 @@ def duration_bucket(us: Column) -> Column:
 PARAM_BUCKETS = ("0", "1", "2-10", "11-100", "101-1000", "1000+")
 
 
+#: The largest count of each class but the last.
+PARAM_BOUNDS = (0, 1, 10, 100, 1000)
+PARAM_BUCKET_SQL = "CASE " + " ".join(f"WHEN param_count <= {n} THEN '{name}'" for n, name in zip(PARAM_BOUNDS, PARAM_BUCKETS, strict=False)) + f" ELSE '{PARAM_BUCKETS[-1]}' END"
+
+
 def param_bucket(n: Column) -> Column:
-    return F.when(n == 0, "0").when(n == 1, "1").when(n <= 10, "2-10").when(n <= 100, "11-100").when(n <= 1000, "101-1000").otherwise("1000+")
+    out = F.lit(PARAM_BUCKETS[-1])
+    for bound, name in reversed(list(zip(PARAM_BOUNDS, PARAM_BUCKETS, strict=False))):
+        out = F.when(n <= bound, name).otherwise(out)
+    return out
 
 
 def param_bucket_order(x: Column) -> Column:

@@ -142,16 +142,27 @@ def normalize(sql: str) -> tuple[str, list[str]]:
     return "".join(out.tokens).strip(" "), [next(values, "?") if p is _HOLE else p for p in params]
 
 
+#: Texts that a worker has lexed already, up to so many characters; then it begins anew.
+_KNOWN_CHARS = 32 << 20
+_known: dict[str, tuple[str, list[str]]] = {}
+_held = 0
+
+
 def _fingerprints(texts: pd.Series) -> pd.DataFrame:
-    known: dict[str, tuple[str, list[str]]] = {}
+    global _held
     rows = []
     for t in texts:
         if t is None:
             rows.append((None, None))
             continue
-        if t not in known:
-            known[t] = normalize(t)
-        rows.append(known[t])
+        found = _known.get(t)
+        if found is None:
+            if _held > _KNOWN_CHARS:
+                _known.clear()
+                _held = 0
+            found = _known[t] = normalize(t)
+            _held += 2 * len(t)
+        rows.append(found)
     return pd.DataFrame(rows, columns=["norm", "params"])
 
 

@@ -47,13 +47,25 @@ def once(**columns: Column) -> Column:
 
 
 def parse_events(events: DataFrame, body: str = "body") -> DataFrame:
-    """Adds time, duration, event, level, props and ``parse_error``; the body is dropped."""
+    """Adds time, duration, event, level, parse_error and props; the body is dropped.
+
+    The header is cut first and properties in a step of their own, so that filters on time, duration, event or level reach below them.
+    """
     rest = [c for c in events.columns if c != body]
-    step = events.select(*rest, once(_text=F.regexp_replace(F.col(body), r"[\r\n]+\z", "")))
-    part = lambda k: F.regexp_extract("_text", HEADER, k)
-    return step.select(*rest, once(
-        time=part(1), duration=S.canonical_duration(part(2)), event=part(3), level=part(4), props=properties(part(5)), parse_error=~F.col("_text").rlike(HEADER),
+    # one pass cuts the header into its parts: null where it is no header
+    step = events.select(*rest, once(_text=F.rtrim(F.col(body), F.lit("\r\n"))))
+    head = F.split("_text", ",", 4)
+    first = F.substring_index(head[0], "-", 1)
+    good = (F.size(head) >= 3) & F.contains(head[0], F.lit("-"))
+    step = step.select(*rest, "_text", once(_head=head, _first=first, _good=good))
+    own = lambda x: F.when(F.col("_good"), x).otherwise(F.lit(""))
+    duration = F.substring(F.get("_head", F.lit(0)), F.length("_first") + 2, F.length("_text"))
+    names = [*rest, "time", "duration", "event", "level", "parse_error"]
+    step = step.select(*rest, "_text", once(
+        time=own(F.col("_first")), duration=own(S.canonical_duration(duration)), event=own(F.get("_head", F.lit(1))), level=own(F.get("_head", F.lit(2))),
+        parse_error=~F.col("_good"), _rest=own(F.coalesce(F.get("_head", F.lit(3)), F.lit(""))),
     ))
+    return step.select(*names, properties(F.col("_rest")).alias("props"))  # a plain column, so that it goes where nobody reads it
 
 
 def read_texts(files: DataFrame) -> DataFrame:

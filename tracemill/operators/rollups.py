@@ -33,7 +33,7 @@ def _in(names: tuple[str, ...]) -> str:
 _MINUTE, _FIVE, _HOUR = ("cast(date_trunc('minute', ts) as timestamp_ntz)", "cast(window(ts, '5 minutes').start as timestamp_ntz)", "cast(date_trunc('hour', ts) as timestamp_ntz)")
 _COUNTS = {"cnt": ("sum", "1"), "dur_sum": ("sum", "duration_us")}
 _SPREAD = {"dur_max": ("max", "duration_us"), "dur_q": ("kll", "duration_us")}
-_BUCKET = "CASE WHEN param_count = 0 THEN '0' WHEN param_count = 1 THEN '1' WHEN param_count <= 10 THEN '2-10' WHEN param_count <= 100 THEN '11-100' WHEN param_count <= 1000 THEN '101-1000' ELSE '1000+' END"
+_BUCKET = S.PARAM_BUCKET_SQL
 
 AGG_MINUTE = Rollup("agg_minute", {"minute": _MINUTE, "event": "event", "process_name": "process_name", "computer_name": "computer_name"},
                     _COUNTS | _SPREAD | {"cpu_sum": ("sum", "cpu_time_us"), "mem_peak_max": ("max", "memory_peak"), "io_bytes": ("sum", "in_bytes + out_bytes")})

@@ -130,14 +130,14 @@ _rich("PRJ-2", "SELECT k, count(*) AS n FROM f, (VALUES ('Tail'), ('EventId')) A
 _add("PRJ-3", "SELECT 'second' AS tail, count(*) AS n FROM f", lambda s, d: P.to_bench(C.raw(s, d)).groupBy(F.col("props")["Tail"].alias("tail")).agg(F.count("*").alias("n")))
 _add("PRS-1", "SELECT event, '1' AS level, count(*) AS n, CAST(sum(duration_us) AS BIGINT) AS total FROM f GROUP BY 1", lambda s, d: C.raw(s, d).groupBy("event", "level").agg(F.count("*").alias("n"), F.sum(F.col("duration").cast("bigint")).alias("total")))
 _add("AGG-10", "SELECT event, count(*) * 25 AS n FROM f GROUP BY 1", lambda s, d: C.raw(s, d).select("event", F.explode("props").alias("p")).groupBy("event").agg(F.count("*").alias("n")))
-_add("PRS-3", "SELECT doc_id, regexp_replace(text, '[\\r\\n]+$', '') AS text FROM documents", lambda s, d: _quoted(s, d, "'"))
+_add("PRS-3", "SELECT doc_id, coalesce(text, '') AS text FROM documents", lambda s, d: _quoted(s, d, "'"))
 _add("PRS-4", SQL["PRS-3"], lambda s, d: _quoted(s, d, '"'))
 
 
 def _quoted(spark: SparkSession, d: str, q: str) -> DataFrame:
     """Whole document texts as quoted values, read back."""
-    docs = spark.read.parquet(f"{d}/documents.parquet").filter("text is not null")
-    text = F.concat(F.lit(f"A=1,Descr={q}"), F.replace(F.regexp_replace("text", r"[\r\n]+\z", ""), F.lit(q), F.lit(q * 2)), F.lit(f"{q},Z=2"))
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    text = F.concat(F.lit(f"A=1,Descr={q}"), F.replace(F.coalesce("text", F.lit("")), F.lit(q), F.lit(q * 2)), F.lit(f"{q},Z=2"))
     value = F.get(F.filter(P.properties(text), lambda p: p["name"] == "Descr"), F.lit(0))["value"]
     return docs.select("doc_id", value.alias("text"))
 
@@ -148,10 +148,10 @@ _events("PRS-6", f"SELECT regexp_full_match(t, '-?(0|[1-9][0-9]*)(\\.[0-9]+)?([e
 
 # ---- scalar functions
 _FORMS = ("concat('+', o_orderkey)", "concat(o_orderkey, ' ')", "concat(o_orderkey, '.5')", "concat('000', o_orderkey)", "concat(o_orderkey, '000000000')", "concat('-', o_orderkey)", "''")
-_SUM = "CAST(sum(CAST(CASE WHEN regexp_full_match(t, '{}') THEN CASE WHEN TRY_CAST(ltrim(t, '+') AS HUGEINT) BETWEEN {} AND {} THEN TRY_CAST(ltrim(t, '+') AS HUGEINT) ELSE 0 END ELSE 0 END AS HUGEINT)) AS BIGINT)"
+_SUM = "CAST(sum(CAST(CASE WHEN regexp_full_match(t, '{}') THEN CASE WHEN TRY_CAST(ltrim(t, '+') AS HUGEINT) BETWEEN {} AND {} THEN TRY_CAST(ltrim(t, '+') AS HUGEINT) ELSE 0 END ELSE 0 END AS HUGEINT)) AS VARCHAR)"
 _events("FN-1", f"SELECT {_SUM.format('[+]?[0-9]+', 0, (1 << 32) - 1)} AS u32, {_SUM.format('[+]?[0-9]+', 0, 255)} AS u8, {_SUM.format('[+]?[0-9]+', 0, (1 << 63) - 1)} AS u64 FROM (SELECT unnest([{', '.join(_FORMS)}]) AS t FROM orders)",
-        lambda x: x.select(F.explode(F.array(*map(F.expr, _FORMS))).alias("t")).agg(F.sum(S.u32(F.col("t"))).alias("u32"), F.sum(S.u8(F.col("t"))).cast("bigint").alias("u8"), F.sum(S.u64(F.col("t"))).alias("u64")), "orders")
-_events("FN-2", f"SELECT {_SUM.format('[+-]?[0-9]+', -(1 << 63) + 1, (1 << 63) - 1)} AS i64 FROM (SELECT unnest([{', '.join(_FORMS)}]) AS t FROM orders)", lambda x: x.select(F.explode(F.array(*map(F.expr, _FORMS))).alias("t")).agg(F.sum(S.i64(F.col("t"))).alias("i64")), "orders")
+        lambda x: x.select(F.explode(F.array(*map(F.expr, _FORMS))).alias("t")).agg(*[F.sum(f(F.col("t")).cast("decimal(20,0)")).cast("string").alias(c) for c, f in (("u32", S.u32), ("u8", S.u8), ("u64", S.u64))]), "orders")
+_events("FN-2", f"SELECT {_SUM.format('[+-]?[0-9]+', -(1 << 63) + 1, (1 << 63) - 1)} AS i64 FROM (SELECT unnest([{', '.join(_FORMS)}]) AS t FROM orders)", lambda x: x.select(F.explode(F.array(*map(F.expr, _FORMS))).alias("t")).agg(F.sum(S.i64(F.col("t")).cast("decimal(20,0)")).cast("string").alias("i64")), "orders")
 _events("FN-4", "SELECT l_orderkey, l_linenumber, concat(l_linenumber, ',', l_suppkey, ',0') AS ids FROM lineitem", lambda x: x.select("l_orderkey", "l_linenumber", F.array_join(F.transform(S.wait_connections(F.expr("concat(l_linenumber, ', ', l_suppkey, ',')")), lambda v: v.cast("string")), ",").alias("ids")), "lineitem")
 _events("FN-5", "SELECT doc_id, coalesce(list_filter(string_split(replace(text, chr(13), ''), chr(10)), lambda x: x <> '')[-1], '') AS line FROM documents", lambda x: x.select("doc_id", S.last_nonempty_line(F.coalesce("text", F.lit(""))).alias("line")), "documents")
 _events("FN-6", "SELECT page_id, string_split(replace(url, chr(92), '/'), '/')[1] AS head FROM pages", lambda x: x.select("page_id", S.path_segment(F.col("url")).alias("head")), "pages")

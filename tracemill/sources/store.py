@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ALWAYS_TEXT, RECORD
@@ -18,8 +18,11 @@ class EventStore:
     path: str
 
     def append(self, rich: DataFrame, compression: str = "zstd") -> None:
-        """Rows in the order of (event, ts, ...) inside each day's files, so that row groups can be skipped."""
-        rows = rich.repartition("event_date").sortWithinPartitions("event", "ts", "process_name", "session_id")
+        """Rows in the order of (event, ts, ...) inside each day's files, so that row groups can be skipped.
+
+        Adaptive execution splits large days over many tasks and files, and joins small ones.
+        """
+        rows = rich.hint("rebalance", "event_date").sortWithinPartitions("event", "ts", "process_name", "session_id")
         rows.write.mode("append").partitionBy("event_date").option("compression", compression).parquet(self.path)
 
     def read(self, begin: str | None = None, end: str | None = None) -> DataFrame:
@@ -48,9 +51,7 @@ class EventStore:
 
 
 def write_ndjson(raw: DataFrame, path: str) -> None:
-    """Records of raw events in order (file, then place); the folder isn't made for no events."""
-    if not raw.head(1):
-        return
+    """Records of raw events, a file's in order of their places; the folder isn't left for no events."""
     order = "start_off" if "start_off" in raw.columns else "position"
 
     @F.pandas_udf("string")
@@ -60,8 +61,13 @@ def write_ndjson(raw: DataFrame, path: str) -> None:
         rows = zip(timestamp, duration, event, level, filename, file_path, props, strict=True)
         return pd.Series([G.to_ndjson(*r[:6], [(p["name"], p["value"], p["quoted"]) for p in r[6]], ALWAYS_TEXT) for r in rows])
 
-    rows = raw.orderBy("file_path", order).select(record("timestamp", "duration", "event", "level", "filename", "file_path", "props").alias("value"))
+    seen = Observation("ndjson")
+    rows = raw.repartition("file_path").sortWithinPartitions("file_path", order).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows = rows.select(record("timestamp", "duration", "event", "level", "filename", "file_path", "props").alias("value"))
     rows.write.text(path)
+    if not seen.get["n"]:
+        hadoop = raw.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(raw.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """The ``techlog`` data source: directories of trace files, in batch and as a stream.
 
-Batch: files are cut into byte ranges, so that one large file feeds many tasks; the reader of a range
+Batch: files are cut into byte ranges, so that one large file feeds many tasks, and small ones are packed into one; the reader of a range
 takes the events that begin in it and reads on to the end of the last.  Predicates on ``file_hour`` (the
 hour in a file's name) prune files before anything is opened; ``collection`` likewise.
 
@@ -21,15 +21,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
 )
 
+from ..operators.parse import parse_events
 from . import grammar as G
 
 SCHEMA = (
-    "file_path string, filename string, collection string, file_hour string, start_off long, end_off long, timestamp string, duration string,"
-    " event string, level string, props array<struct<name:string,value:string,quoted:boolean>>"
+    "file_path string, filename string, collection string, file_hour string, start_off long, end_off long, body string"
 )
 BOM = b"\xef\xbb\xbf"
 
@@ -40,12 +42,13 @@ class Options:
 
     path: str
     min_size: int = 100
-    range_bytes: int = 64 << 20
+    range_bytes: int = 16 << 20
+    open_cost: int = 64 << 10
     idle_ms: int = 2000
     max_bytes_per_trigger: int = 256 << 20
     separator: str = "\\"
 
-    RANGES = {"min_size": (0, 1 << 30), "range_bytes": (1, 1 << 40), "idle_ms": (0, 3_600_000), "max_bytes_per_trigger": (1, 1 << 50)}
+    RANGES = {"min_size": (0, 1 << 30), "range_bytes": (1, 1 << 40), "open_cost": (0, 1 << 30), "idle_ms": (0, 3_600_000), "max_bytes_per_trigger": (1, 1 << 50)}
 
     @classmethod
     def of(cls, options: dict) -> Options:
@@ -67,13 +70,33 @@ class Options:
 
 
 @dataclass(frozen=True)
-class Range(InputPartition):
+class Range:
     path: str
     start: int
     end: int
     closed: bool = False  # the last event ends at ``end``, nothing is read beyond
 
 
+@dataclass(frozen=True)
+class Pack(InputPartition):
+    """Ranges that one task reads one after the other."""
+
+    ranges: tuple[Range, ...]
+
+
+def packed(ranges: list[Range], most: int, open_cost: int) -> list[Pack]:
+    """Ranges in order, together while their bytes and what opening costs stay within ``most``."""
+    out, own, size = [], [], 0
+    for r in ranges:
+        cost = r.end - r.start + open_cost
+        if own and size + cost > most:
+            out.append(Pack(tuple(own)))
+            own, size = [], 0
+        own.append(r)
+        size += cost
+    return [*out, Pack(tuple(own))]
+
+
 def walk(paths: str, min_size: int) -> tuple[list[tuple[str, int]], int]:
     """Trace files (path, size) at or below comma-separated paths, largest first, and how many were too small."""
     found, small = [], 0
@@ -89,12 +112,6 @@ def walk(paths: str, min_size: int) -> tuple[list[tuple[str, int]], int]:
     return sorted(found, key=lambda x: (-x[1], x[0])), small
 
 
-def _arrow() -> pa.Schema:
-    prop = pa.struct([("name", pa.string()), ("value", pa.string()), ("quoted", pa.bool_())])
-    kinds = {"long": pa.int64(), "string": pa.string()}
-    return pa.schema([(n, kinds.get(k) or pa.list_(prop)) for n, k in (c.strip().split(" ", 1) for c in re.split(r", (?![^<]*>)", SCHEMA))])
-
-
 def events_of(stream, start: int, end: int, closed: bool = False, block: int = 8 << 20) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, bytes) of the events that begin in [start, end) of a file; memory is a block and the largest event.
 
@@ -128,24 +145,42 @@ def events_of(stream, start: int, end: int, closed: bool = False, block: int = 8
         yield pending, base + len(data), data
 
 
-def _rows(part: Range, separator: str) -> Iterator[pa.RecordBatch]:
-    schema, rows, held = _arrow(), [], 0
-    name = re.split(r"[/\\]", part.path)[-1]
-    short = G.relative_path(part.path, separator)
-    prefix, collection = G.date_prefix(name), short.split(separator)[0]
-    with open(part.path, "rb") as stream:
-        for a, b, body in events_of(stream, part.start, part.end, part.closed):
-            parsed = G.parse_event(body.decode("utf-8", "replace"))
-            if parsed is None:
+def _strings(bodies: list[bytes]) -> pa.Array:
+    """Texts; bytes that are no UTF-8 are replaced."""
+    try:
+        return pa.array(bodies, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.decode("utf-8", "replace") for x in bodies])
+
+
+def _rows(pack: Pack, separator: str, gone: bool = False) -> Iterator[pa.RecordBatch]:
+    """The events' texts with their places; they are parsed by native expressions (``load``).  ``gone``: files may be missing by now."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        *texts, a, b, bodies = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in texts), pa.array(a, pa.int64()), pa.array(b, pa.int64()), _strings(bodies)], names)
+
+    rows, held = [], 0
+    for part in pack.ranges:
+        name = re.split(r"[/\\]", part.path)[-1]
+        short = G.relative_path(part.path, separator)
+        fixed = (short, name, short.split(separator)[0], G.date_prefix(name)[:-1])
+        try:
+            stream = open(part.path, "rb")
+        except FileNotFoundError:
+            if gone:
                 continue
-            moment, duration, event, level, props = parsed
-            rows.append((short, name, collection, prefix[:-1], a, b, prefix + moment, duration, event, level, [{"name": n, "value": v, "quoted": q} for n, v, q in props]))
-            held += len(body)
-            if held > 4 << 20 or len(rows) >= 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-                rows, held = [], 0
+            raise
+        with stream:
+            for row in events_of(stream, part.start, part.end, part.closed):
+                rows.append(fixed + row)
+                held += len(row[2])
+                if held > 4 << 20 or len(rows) >= 10_000:
+                    yield batch(rows)
+                    rows, held = [], 0
     if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+        yield batch(rows)
 
 
 class TraceReader(DataSourceReader):
@@ -170,13 +205,14 @@ class TraceReader(DataSourceReader):
         ops = {"=": lambda a, b: a == b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "in": lambda a, b: a in b}
         return all(ops[op](have[name], value) for name, op, value in self.tests)
 
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Pack]:
         files, _ = walk(self.options.path, self.options.min_size)
         step = self.options.range_bytes
-        return [Range(p, a, min(a + step, n)) for p, n in files if self.wanted(p) for a in range(0, n, step)] or [Range("", 0, 0)]
+        ranges = [Range(p, a, min(a + step, n)) for p, n in files if self.wanted(p) for a in range(0, n, step)]
+        return packed(ranges, step, self.options.open_cost)
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return _rows(partition, self.options.separator) if partition.path else iter(())
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
+        return _rows(partition, self.options.separator)
 
 
 class TraceStream(DataSourceStreamReader):
@@ -188,26 +224,31 @@ class TraceStream(DataSourceStreamReader):
         return {"files": "{}"}
 
     def latestOffset(self) -> dict:
-        """Advances each file to where its events are closed, within the bytes of a trigger."""
-        state, left = dict(self.last), self.options.max_bytes_per_trigger
-        for path, _ in walk(self.options.path, self.options.min_size)[0]:
-            if left <= 0:
-                break
+        """Advances each file to where its events are closed; a trigger's bytes are shared out, smallest rest first, so no file waits for a large one."""
+        state, left, open_files = dict(self.last), self.options.max_bytes_per_trigger, []
+        for path, size in walk(self.options.path, self.options.min_size)[0]:
+            info = os.stat(path)
+            key = f"{info.st_dev}:{info.st_ino}"
+            old = state.get(key, {"path": path, "gen": 0, "off": 0})
+            if size < old["off"]:
+                old = {"path": path, "gen": old["gen"] + 1, "off": 0}
+            open_files.append((size - old["off"], path, key, old))
+        open_files.sort(key=lambda x: x[:2])
+        for k, (_, path, key, old) in enumerate(open_files):
             with open(path, "rb") as f:
                 info = os.fstat(f.fileno())
                 size = f.seek(0, os.SEEK_END)  # what the open handle sees
-                key = f"{info.st_dev}:{info.st_ino}"
-                old = state.get(key, {"path": path, "gen": 0, "off": 0})
-                if size < old["off"]:
-                    old = {"path": path, "gen": old["gen"] + 1, "off": 0}
+                if f"{info.st_dev}:{info.st_ino}" != key or size < old["off"]:
+                    continue  # replaced meanwhile: the next trigger sees it
                 quiet = (time.time() - info.st_mtime) * 1000 >= self.options.idle_ms
-                off = _closed_until(f, old["off"], min(size, old["off"] + left), size, quiet)
-                left -= off - old["off"]
+                share = max(1, left // (len(open_files) - k))
+                off = _closed_until(f, old["off"], min(size, old["off"] + share), size, quiet)
+                left = max(0, left - (off - old["off"]))
                 state[key] = {"path": path, "gen": old["gen"], "off": off}
         self.last = state
         return {"files": json.dumps(state, sort_keys=True)}
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
+    def partitions(self, start: dict, end: dict) -> list[Pack]:
         before, after = json.loads(start["files"]), json.loads(end["files"])
         self.last = self.last or after
         out = []
@@ -216,36 +257,45 @@ class TraceStream(DataSourceStreamReader):
             begin = old["off"] if old["gen"] == now["gen"] else 0
             if now["off"] > begin:
                 out.append(Range(now["path"], begin, now["off"], True))
-        return out
+        return packed(out, self.options.range_bytes, self.options.open_cost) if out else []
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from _rows(partition, self.options.separator)
-        except FileNotFoundError:
-            return  # rotated away since the offset was made
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
+        return _rows(partition, self.options.separator, gone=True)  # rotated away since the offset was made
 
     def commit(self, end: dict) -> None:
         self.last = json.loads(end["files"])
 
 
-def _closed_until(f, begin: int, end: int, size: int, quiet: bool) -> int:
+def _closed_until(f, begin: int, end: int, size: int, quiet: bool, tail: int = 64 << 10) -> int:
     """The place up to which events are complete: the last event's start, or the end of a quiet file that ends a line.
 
-    An event larger than a trigger's bytes is read on until it is closed.
+    Only the tail is read, in blocks that double until an event begins in one.  An event larger than a trigger's
+    bytes is read on until it is closed.
     """
-    while True:
-        f.seek(begin)
-        data = f.read(end - begin)
-        if quiet and end == size and data.endswith(b"\n"):
+    if quiet and end == size and end > begin:
+        f.seek(end - 1)
+        if f.read(1) == b"\n":
             return end
-        later = [k for k in G.event_starts(data) if k]
-        if later or end == size:
-            return begin + max(later, default=0)
+    while end > begin:
+        step = tail
+        while True:
+            low = max(begin, end - step)
+            base = max(begin, low - 1)  # the byte before tells whether a line begins at ``low``
+            f.seek(base)
+            later = [base + k for k in G.event_starts(f.read(end - base)) if base + k > begin and (k or base == begin)]
+            if later:
+                return later[-1]
+            if low == begin:
+                break
+            step *= 2
+        if end == size:
+            break
         end = min(size, begin + 2 * (end - begin))
+    return begin
 
 
 class TraceSource(DataSource):
-    """spark.read.format("techlog").load(path), spark.readStream.format("techlog").load(path)"""
+    """The events' texts; ``load`` and ``stream`` parse them."""
 
     @classmethod
     def name(cls) -> str:
@@ -264,3 +314,26 @@ class TraceSource(DataSource):
 def register(spark) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TraceSource)
+
+
+def parsed(bodies: DataFrame, rejected: bool = False) -> DataFrame:
+    """Raw events of the source's rows: header and properties are read in the JVM, and properties only of events that later filters keep.
+
+    ``rejected``: texts without a header stay, marked by ``parse_error``; else they are left out.
+    """
+    step = parse_events(bodies)
+    step = step if rejected else step.filter(~F.col("parse_error")).drop("parse_error")
+    stamp = F.concat(F.when(F.col("file_hour") != "", F.concat("file_hour", F.lit(":"))).otherwise(F.lit("")), F.col("time"))
+    return step.withColumn("time", stamp).withColumnRenamed("time", "timestamp")
+
+
+def load(spark: SparkSession, path: str, rejected: bool = False, **options) -> DataFrame:
+    """Raw events of trace files: file_path, filename, collection, file_hour, start_off, end_off, timestamp, duration, event, level, props."""
+    register(spark)
+    return parsed(spark.read.format("techlog").options(**{k: str(v) for k, v in options.items()}).load(path), rejected)
+
+
+def stream(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Raw events of growing files."""
+    register(spark)
+    return parsed(spark.readStream.format("techlog").options(**{k: str(v) for k, v in options.items()}).load(path))

@@ -18,8 +18,7 @@ from ..sources import techlog
 
 def stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """Raw events of growing files."""
-    techlog.register(spark)
-    return spark.readStream.format("techlog").options(**{k: str(v) for k, v in options.items()}).load(path)
+    return techlog.stream(spark, path, **options)
 
 
 def write_batch(raw: DataFrame, batch: int, target: str, rollups: tuple[Rollup, ...] = ROLLUPS, fingerprints: bool = True) -> None:
