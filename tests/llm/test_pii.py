@@ -1,3 +1,4 @@
+import math
 import re
 
 from tracemill.llm import pii
@@ -77,3 +78,60 @@ def test_terms_disclose_from_afar_and_everywhere(spark):
 def test_terms_of_single_texts_and_copies_stay(spark):
     texts = ["Zoe wrote to zoe@example.org"] * 5 + ["Liz wrote to liz@example.org", "Liz wrote again"] + [f"w{i} wrote" for i in range(60)]
     assert all(s["kind"] == 0 for r in pii.spans(frame(spark, texts)).collect() for s in r.spans)
+
+
+def disclosing(texts, how=pii.Disclosure()):
+    """Brute force: the lower-case terms that disclose an entity, and whether they are removed."""
+    edge = """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
+    terms, entities = {}, {}
+    for t in set(texts):
+        spans = brute(t)
+        entities[t] = {name for a, k, b in spans for name in pii.facets(k, t[a:b])}
+        own = set()
+        for m in re.finditer("[^\\x20\\x09-\\x0D]+", t):
+            x = m[0].lstrip(edge)
+            a = m.end() - len(x)
+            x = x.rstrip(edge)
+            if x and not any(a < e and a + len(x) > s for s, _, e in spans):
+                own.add(x.lower())
+        terms[t] = own
+    total = len(entities)
+    of = {e: [t for t in entities if e in entities[t]] for e in set().union(*entities.values())}
+    of = {e: ts for e, ts in of.items() if how.support <= len(ts) <= total / 2**how.bits}
+    beside = {x for ts in of.values() for t in ts for x in terms[t]}
+    chance = math.log2(max(1, len(beside)) * max(1, len(of))) + how.surplus
+    out = {}
+    for e, ts in of.items():
+        for x in set().union(*(terms[t] for t in ts)):
+            both, held = sum(x in terms[t] for t in ts), sum(x in own for own in terms.values())
+            bits = math.log2(both / held * total / len(ts)) if both else 0
+            if both >= how.support and both >= how.share * held and bits >= how.bits and bits * both >= chance:
+                out[x] = out.get(x, False) or both >= how.share_remove * held
+    return out
+
+
+def test_terms_equal_brute_force(spark):
+    rng = seeded(12)
+    names = [f"Name{k}" for k in range(12)]
+    hosts = [f"corp{k}.example.org" for k in range(4)]
+    texts = []
+    for i in range(900):
+        own = [f"q{rng.randrange(400)}" for _ in range(rng.randrange(5, 40))]
+        if i % 4 == 0:
+            k = rng.randrange(12)
+            own.insert(rng.randrange(len(own)), names[k] if rng.random() < 0.8 else "nobody")
+            own.insert(rng.randrange(len(own)), rng.choice([f"n{k}@{hosts[k % 4]}", f"x{i}@{hosts[k % 4]},", f"10.1.{k}.{i % 200}", f"+1 555 {k:03d} {i:04d}"]))
+        elif i % 50 == 1:
+            own.append(rng.choice(names))
+        texts.append(" ".join(own))
+    want = disclosing(texts)
+    got = {}
+    for r in pii.spans(frame(spark, texts)).collect():
+        for s in r.spans:
+            if s["kind"] == 4:
+                got[texts[r.doc_id][s["start"] : s["end"]].lower()] = s["remove"]
+    assert got == want and len(want) > 3
+
+
+def test_generalised_classes():
+    assert [pii.general(x) for x in ("Ann", "77", "a.b", "x9", "clerk")] == ["[NAME]", "[NUMBER]", "[HOST]", "[CODE]", "[TERM]"]

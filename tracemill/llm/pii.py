@@ -1,11 +1,14 @@
 """Personal data with information-theoretic sanitisation (operator 9).
 
 Protected entities are e-mail addresses, IP addresses, card and phone numbers,
-found by fixed patterns in whole texts.  A corpus pass then estimates how strongly
+found by fixed patterns in whole texts, and what they have in common with others: the host of an address, the network
+of an IP address (three parts), the first six digits of a card or phone number.  A corpus pass then estimates how strongly
 other terms reveal them: for a term t and an entity e, P(e | t) is the share of the
 texts holding t that also hold e, however far apart, and I(e; t) = log2 P(e | t) / P(e) the information
 in bits that t gives about e.  Terms beyond ``share`` and ``bits`` with at least ``support`` different
-texts disclose the entity: they are generalised, and those beyond ``share_remove`` removed,
+texts disclose the entity, if the bits of all these texts together exceed what chance gives among as many pairs of
+terms and entities (log2 of the pairs, and ``surplus``: 2 ** -surplus pairs are expected by chance at most).
+Disclosing terms are generalised to their class, and those beyond ``share_remove`` removed,
 wherever they stand in any text, since the statistics cover all of them.  Terms of any length count.
 Equal texts count once, so copies prove nothing; entities of fewer than ``support`` texts can have no such term.
 
@@ -19,6 +22,7 @@ gives an empty result; ``sanitise`` carries all columns, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,6 +53,7 @@ class Disclosure:
     share: float = 0.5
     share_remove: float = 0.9
     bits: float = 4.0
+    surplus: float = 3.0
 
 
 def luhn(digits: str) -> bool:
@@ -112,19 +117,32 @@ def _narrow(docs: DataFrame) -> DataFrame:
 FOUND = "doc_id long, tid long, starts array<int>, kinds array<tinyint>, ends array<int>, entities array<long>"
 
 
-def _entity(kind: int, text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{kind}:{text}".encode(), digest_size=8).digest(), "little", signed=True)
+def facets(kind: int, text: str) -> list[str]:
+    """Names of an entity: the whole, and what it has in common with others."""
+    if kind == 0:
+        common = text[text.rindex("@") :].lower()
+    elif kind == 1:
+        common = text[: text.rindex(".") + 1]
+    else:
+        common = DIGITS.sub("", text)[:6]
+    return [f"{kind}={text}", f"{kind}~{common}"]
+
+
+def _entities(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """Hashes of the entities of a text, each once."""
+    names = {name for a, k, b in spans for name in facets(k, text[a:b])}
+    return [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True) for x in sorted(names)]
 
 
 def _found(slim: DataFrame) -> DataFrame:
-    """FOUND: base spans of each document, and the hash of each span's entity."""
+    """FOUND: base spans of each document, and the hashes of its entities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch):
                 texts = part.column("text").to_pylist()
                 spans = [base_spans(x) for x in texts]
-                entities = [[_entity(k, x[a:b]) for a, k, b in s] for x, s in zip(texts, spans, strict=True)]
+                entities = [_entities(x, s) for x, s in zip(texts, spans, strict=True)]
                 lists = [pa.array([[x[k] for x in s] for s in spans], pa.list_(kind)) for k, kind in ((0, pa.int32()), (1, pa.int8()), (2, pa.int32()))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tid"), *lists, pa.array(entities, pa.list_(pa.int64()))], ["doc_id", "tid", "starts", "kinds", "ends", "entities"])
 
@@ -214,22 +232,25 @@ def _analysed(docs: DataFrame, how: Disclosure) -> tuple[DataFrame, DataFrame, D
     slim = _narrow(docs)
     found = shared.stored(_found(slim), "pii-found")
     entities = found.filter(F.size("entities") > 0).select("tid", F.explode("entities").alias("entity")).distinct()
-    counted = entities.groupBy("entity").agg(F.count("*").alias("of_entity")).filter(F.col("of_entity") >= how.support)
+    total = slim.select("tid").distinct().count()
+    # of an entity that more texts have, no term can give so many bits
+    most = total / 2**how.bits
+    counted = entities.groupBy("entity").agg(F.count("*").alias("of_entity")).filter(F.col("of_entity").between(how.support, most))
     counted = shared.stored(counted, "pii-entities")
     entities = shared.stored(entities.join(counted.select("entity"), "entity", "left_semi").groupBy("tid").agg(F.collect_list("entity").alias("entities")), "pii-texts")
     held_by = shared.stored(_terms_of(slim, entities.select("tid")).join(entities, "tid"), "pii-terms")
     pairs = held_by.select("entities", F.explode("terms").alias("term")).select(F.explode("entities").alias("entity"), "term")
     pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= how.support)
     # a term is held by at least the texts that hold it and some entity: a cheap bound that already rules most pairs out
-    beside = held_by.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("beside")).filter(F.col("beside") >= how.support)
+    beside = shared.stored(held_by.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("beside")), "pii-beside")
+    chance = math.log2(max(1, beside.count()) * max(1, counted.count())) + how.surplus
     pairs = pairs.join(beside, "term").filter(F.col("both") >= how.share * F.col("beside")).drop("beside")
     pairs = shared.stored(pairs, "pii-pairs")
     held = _texts_with(slim, pairs.select("term").distinct()).distinct().groupBy("term").agg(F.count("*").alias("texts"))
-    total = slim.select("tid").distinct().agg(F.count("*").alias("total"))
-    shares = pairs.join(held, "term").join(counted, "entity").crossJoin(F.broadcast(total))
+    shares = pairs.join(held, "term").join(counted, "entity")
     p = F.col("both") / F.col("texts")
-    bits = F.log2(p * F.col("total") / F.col("of_entity"))
-    strong = shares.filter((p >= how.share) & (bits >= how.bits)).groupBy("term").agg(F.max(p >= how.share_remove).alias("remove"))
+    bits = F.log2(p * total / F.col("of_entity"))
+    strong = shares.filter((p >= how.share) & (bits >= how.bits) & (bits * F.col("both") >= chance)).groupBy("term").agg(F.max(p >= how.share_remove).alias("remove"))
     return slim, found, shared.stored(strong, "pii-strong")
 
 
@@ -252,8 +273,14 @@ def listed(array) -> F.Column:
     return F.array_join(F.transform(array, lambda x: F.concat_ws(":", F.get(names, x["kind"].cast("int")), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def general(term: str) -> str:
+    """What a disclosing term is generalised to: its class by its looks."""
+    kind = "NUMBER" if term.isdigit() else "HOST" if "." in term or "/" in term else "CODE" if any(c.isdigit() for c in term) else "NAME" if term[:1].isupper() else "TERM"
+    return f"[{kind}]"
+
+
 def sanitise(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
-    """The documents with entities as ``[EMAIL]`` and the like, disclosing terms as ``[TERM]`` or removed; all columns."""
+    """The documents with entities as ``[EMAIL]`` and the like, disclosing terms as their class (``general``) or removed; all columns."""
     own = spans(docs, how).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), F.col("spans").alias("_spans")).dropDuplicates(["_d", "_t"])
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
     wide = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].cast("long").alias("_id"), key.alias("_key"), docs["text"].cast("string").alias("_text"))
@@ -269,7 +296,7 @@ def sanitise(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
             parts, done = [], 0
             for x in s:
                 if x["start"] >= done:
-                    parts += [t[done : x["start"]], "" if x["remove"] else f"[{KINDS[x['kind']].upper()}]"]
+                    parts += [t[done : x["start"]], "" if x["remove"] else f"[{KINDS[x['kind']].upper()}]" if x["kind"] < 4 else general(t[x["start"] : x["end"]])]
                     done = x["end"]
             out.append("".join([*parts, t[done:]]))
         return type(text)(out)
