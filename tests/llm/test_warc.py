@@ -3,6 +3,8 @@ import hashlib
 
 from tracemill.llm import shared, warc
 
+from .common import seeded
+
 SCHEMA = "page_id long, url string, html string, record_type string"
 BIG = "<html>" + "ü" * 60 + "\r\n\r\nWARC/1.1\r\n" + "x" * 50
 
@@ -14,7 +16,7 @@ def sample():
 
 def test_round_trip(spark):
     path = shared.new_path(spark, "warc-test")
-    warc.write(spark.createDataFrame(sample(), SCHEMA), path, records_per_file=2)
+    warc.write(spark.createDataFrame(sample(), SCHEMA), path, file_bytes=100)
     got = sorted(warc.page_digests(warc.read(spark, path)).collect())
     want = []
     for i, _, html, _ in sample():
@@ -64,6 +66,40 @@ def test_filters_skip_payloads(spark, tmp_path):
     assert read_bytes == [5]
 
 
+def test_unwanted_members_are_not_inflated(spark):
+    path = shared.new_path(spark, "warc-test")
+    rng = seeded(5)
+    noise = "".join(chr(33 + rng.randrange(90)) for _ in range(50_000))
+    warc.write(spark.createDataFrame([(1, "u", noise, ""), (2, "u", "short", "")], SCHEMA).coalesce(1), path)
+    files = warc._listed(warc.qualified(spark, path))
+    assert all(not name.rsplit("/", 1)[1].startswith(".") for name, _ in files)
+    sizes = []
+
+    class Counting:
+        def __init__(self, f):
+            self.f, self.seek = f, f.seek
+
+        def read(self, n):
+            sizes.append(len(x := self.f.read(n)))
+            return x
+
+    for name, size in files:
+        with warc._opened(name) as f:
+            got = [x[1]["warc-record-id"] for x in warc.members_of(Counting(f), lambda h: h["warc-record-id"] == "<urn:page:2>", "bytes")]
+    assert got == ["<urn:page:2>"] and size > 20_000 and sum(sizes) < 5_000
+    assert gzip.decompress(open(files[0][0].removeprefix("file:"), "rb").read()).count(b"WARC/1.1") == 2  # plain gzip to others
+
+
+def test_attempts_that_fail_leave_nothing(spark, tmp_path):
+    import pyarrow as pa
+
+    writer = warc.WarcWriter({"path": f"file:{tmp_path}", "file_bytes": "10"})
+    done = writer.write(iter([pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["value"])]))
+    assert warc._listed(f"file:{tmp_path}") == [] and len(done.files) == 2
+    writer.abort([done, None])
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_empty(spark):
     path = shared.new_path(spark, "warc-test")
     warc.write(spark.createDataFrame([], SCHEMA), path)

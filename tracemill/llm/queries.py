@@ -28,8 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "warc")
-    warc.write(_table(spark, sf_dir, "pages"), path, compression="gzip")
-    return warc.page_digests(warc.read(spark, path))
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    # revisits have no payload to hash: the type is pushed down, and the other records are sought over
+    revisits = warc.read(spark, path, "none").filter("record_type = 'revisit'")
+    return warc.page_digests(warc.read(spark, path).filter("record_type = 'response'").unionByName(revisits))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,15 @@
 """WARC archives as a PySpark Python data source (operator 4).
 
-Writing stays in Spark's text sink: a record is one string (header block, HTTP
-head, payload) and the record end CRLF CRLF is the line separator, so archives go
-through Hadoop's file systems and commit protocol, whatever the store.
+Records are made by expressions and written by the data source's own writer: each record is a gzip member
+of its own, whose header has the member's length in an extra field (``sl``, as the standard's annex on compression
+proposes).  Tasks write under hidden names, and the commit names their files, so attempts that are lost or repeated leave nothing behind.
 
 Reading is a Python data source named ``warc``.  It plans partitions of whole
 files packed to ``partition_bytes``; predicates on the record type and on header
-columns are pushed down; a record's header block is parsed first, and the payload of
-an unwanted record is skipped (sought over where the file is not compressed).  The
-option ``payload`` says what to do with wanted ones: ``none`` skips them too,
-``digest`` hashes them, ``bytes`` returns them as well.
+columns are pushed down; a record's header block is parsed first (only the first block of a member is inflated), and an
+unwanted record is sought over by its length without being inflated.  Archives without that field, or without compression, are
+read on from record to record.  The option ``payload`` says what to do with wanted ones: ``none`` skips them too,
+``digest`` hashes them, ``bytes`` returns them as well.  Paths without a scheme belong to Spark's default file system.
 
 Defined cases: a null html is an empty payload; a null url gives no target header;
 control characters of a url are percent-encoded; rows that repeat the smallest
@@ -22,14 +22,20 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import os
+import struct
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage,
+)
 
 MIN_DUPLICATE = 100
 DATE = "1970-01-01T00:00:00Z"
@@ -81,10 +87,70 @@ def as_records(pages: DataFrame, min_duplicate: int = MIN_DUPLICATE, date: str =
     return both.select(value.alias("value"))
 
 
-def write(pages: DataFrame, path: str, min_duplicate: int = MIN_DUPLICATE, records_per_file: int = 50_000, compression: str | None = None) -> None:
-    """Write the pages as archives in a folder."""
-    options = {"lineSep": "\r\n\r\n", "maxRecordsPerFile": str(records_per_file)} | ({"compression": compression} if compression else {})
-    as_records(pages, min_duplicate).write.options(**options).text(path)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme; without one it belongs to Spark's default file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def write(pages: DataFrame, path: str, min_duplicate: int = MIN_DUPLICATE, file_bytes: int = 64 << 20) -> None:
+    """Write the pages as archives into a folder."""
+    spark = pages.sparkSession
+    spark.dataSource.register(WarcSource)
+    as_records(pages, min_duplicate).write.format("warc").mode("append").option("file_bytes", str(file_bytes)).save(qualified(spark, path))
+
+
+def member(record: bytes, level: int = 6) -> bytes:
+    """A gzip member with its compressed and plain length in the extra field ``sl``."""
+    z = zlib.compressobj(level, zlib.DEFLATED, -zlib.MAX_WBITS)
+    body = z.compress(record) + z.flush()
+    size = 24 + len(body) + 8
+    if max(size, len(record)) >= 1 << 32:  # no room for the lengths: a member without the field
+        return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H2sHII", 12, b"sl", 8, size, len(record))
+    return head + body + struct.pack("<II", zlib.crc32(record), len(record))
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: list[tuple[str, str]]
+
+
+class WarcWriter(DataSourceArrowWriter):
+    """Files of a task: hidden names first, their own at the commit."""
+
+    def __init__(self, options: dict):
+        self.path, self.most = options["path"].rstrip("/"), int(options.get("file_bytes", 64 << 20))
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        files: list[tuple[str, str]] = []
+        out, size = None, 0
+        try:
+            for batch in iterator:
+                for value in batch.column("value"):
+                    if out is None or size > self.most:
+                        if out is not None:
+                            out.close()
+                        name = uuid.uuid4().hex
+                        files.append((f"{self.path}/.{name}.warc.gz", f"{self.path}/{name}.warc.gz"))
+                        out, size = _created(files[-1][0]), 0
+                    data = member(value.as_buffer().to_pybytes() + b"\r\n\r\n")
+                    out.write(data)
+                    size += len(data)
+        finally:
+            if out is not None:
+                out.close()
+        return Written(files)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        for m in messages:
+            for hidden, own in m.files if m else ():
+                _moved(hidden, own)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        for m in messages:
+            for hidden, _ in m.files if m else ():
+                _removed(hidden)
 
 
 # ---- reading
@@ -119,15 +185,36 @@ def _listed(path: str) -> list[tuple[str, int]]:
     scheme = path.split("://")[0]
     info = store.get_file_info(at)
     if info.type != fs.FileType.File:
-        info = store.get_file_info(fs.FileSelector(at, recursive=True))
+        info = store.get_file_info(fs.FileSelector(at, allow_not_found=True, recursive=True))
     found = info if isinstance(info, list) else [info]
     return sorted((f"{scheme}://{x.path}", x.size) for x in found if x.type == fs.FileType.File and x.size and x.base_name[0] not in "._")
 
 
 def _opened(path: str):
     store, at = _store(path)
-    raw = open(at, "rb", buffering=1 << 20) if store is None else store.open_input_file(at)
-    return gzip.open(raw) if path.endswith(".gz") else raw
+    return open(at, "rb", buffering=1 << 16) if store is None else store.open_input_file(at)
+
+
+def _created(path: str):
+    store, at = _store(path)
+    if store is not None:
+        store.create_dir(os.path.dirname(at), recursive=True)
+        return store.open_output_stream(at)
+    os.makedirs(os.path.dirname(at), exist_ok=True)
+    return open(at, "wb")
+
+
+def _moved(source: str, target: str) -> None:
+    store, at = _store(source)
+    os.replace(at, _store(target)[1]) if store is None else store.move(at, _store(target)[1])
+
+
+def _removed(path: str) -> None:
+    store, at = _store(path)
+    if store is not None:
+        store.delete_file(at)
+    elif os.path.exists(at):
+        os.remove(at)
 
 
 def headers_of(lines: list[bytes]) -> dict[str, str]:
@@ -189,6 +276,41 @@ def records_of(stream, wanted, payload: str) -> Iterator[tuple]:
         yield at, head, None if http is None else b"".join(http).decode("latin-1"), data if payload == "bytes" else None, digest, length
 
 
+def members_of(stream, wanted, payload: str, block: int = 1024) -> Iterator[tuple]:
+    """The records of an archive whose members tell their length; from a member without that on, all is read through."""
+    at = 0
+    while True:
+        stream.seek(at)
+        first = stream.read(block)
+        if not first:
+            return
+        if first[:3] != b"\x1f\x8b\x08":
+            raise ValueError(f"no gzip member at byte {at}")
+        z = zlib.decompressobj(16 + zlib.MAX_WBITS)
+        if not first[3] & 4 or first[12:14] != b"sl":
+            stream.seek(at)
+            yield from records_of(gzip.GzipFile(fileobj=stream), wanted, payload)
+            return
+        size = struct.unpack("<I", first[16:20])[0]
+        data = z.decompress(first)
+        end = data.find(b"\r\n\r\n")
+        while end < 0 and not z.eof and (more := stream.read(block)):
+            data += z.decompress(more)
+            end = data.find(b"\r\n\r\n")
+        lines = data[: max(end, 0)].split(b"\r\n")
+        if end >= 0 and lines[0].startswith(b"WARC/") and not wanted(headers_of(lines[1:])):
+            at += size
+            continue
+        parts = [data]
+        while not z.eof and (more := stream.read(1 << 16)):
+            parts.append(z.decompress(more))
+        if not z.eof:
+            raise ValueError(f"member at byte {at} is cut off")
+        for _, *record in records_of(io.BytesIO(b"".join(parts)), wanted, payload):
+            yield at, *record
+        at += size
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options.get("path", "").split(",") if p]
@@ -238,7 +360,8 @@ class WarcReader(DataSourceReader):
         rows, held = [], 0
         for path in partition.paths:
             with _opened(path) as stream:
-                for at, head, http, data, digest, length in records_of(stream, self.wanted, self.payload):
+                read = members_of if path.endswith(".gz") else records_of
+                for at, head, http, data, digest, length in read(stream, self.wanted, self.payload):
                     rows.append((path, at, *[head.get(HEADERS[c]) for c in ("record_type", "record_id", "target_uri", "date", "content_type")],
                                  int(head["content-length"]), head.get("warc-payload-digest"), head.get("warc-refers-to"), http, length, digest, data))
                     held += 500 + len(data or b"")
@@ -259,7 +382,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class WarcSource(DataSource):
-    """spark.read.format("warc").option("payload", "none" | "digest" | "bytes").load(path)"""
+    """spark.read.format("warc").option("payload", "none" | "digest" | "bytes").load(path), df.write.format("warc").mode("append").save(path)"""
 
     @classmethod
     def name(cls) -> str:
@@ -271,12 +394,17 @@ class WarcSource(DataSource):
     def reader(self, schema) -> WarcReader:
         return WarcReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> WarcWriter:
+        if overwrite:
+            raise ValueError("archives are appended to a folder, not overwritten")
+        return WarcWriter(self.options)
+
 
 def read(spark: SparkSession, path: str, payload: str = "digest") -> DataFrame:
     """The records of the archives at a path."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payload", payload).load(path)
+    return spark.read.format("warc").option("payload", payload).load(qualified(spark, path))
 
 
 def page_digests(records: DataFrame) -> DataFrame:
