@@ -1,9 +1,9 @@
 """Chat formatting by schema fingerprints (operator 7), in DataFrame and SQL functions only.
 
 Records come as JSON texts of any layout (or rows that are made into such).  Their
-nested field paths are read off by ``schema_of_variant`` and hashed: the fingerprint of a
-layout.  Each fingerprint seen is looked up once among declarative mappings (path patterns
-to turns), and rows are converted by the mapping of their fingerprint into canonical turns
+nested field paths are read off by ``schema_of_variant`` and hashed; the hash of them all is the
+fingerprint of a layout.  A declarative mapping (field paths to turns) is selected where a record has the hashes of all its
+paths, so layouts of any number are told apart row by row, and rows are converted into canonical turns
 (role, text).  The template marks turns as ``<|im_start|>role\\ntext<|im_end|>\\n``.
 Roles are percent-encoded; in texts a backslash is doubled and a control string is
 broken by a backslash after its first character, so both are read back exactly.  The loss
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 START, END, ASSISTANT = "<|im_start|>", "<|im_end|>", "assistant"
 #: Control strings of common chat templates that a text must not bring in; the first character is followed by a backslash.
 CONTROL = r"(<|\[)(?=\|[A-Za-z_]+\|>|/?s>|/?INST\]|</?SYS>>)"
@@ -53,82 +55,73 @@ MAPPINGS = (
             f"concat(if(r.system IS NULL, array(), array({_turn(repr('system'), 'r.system')})), array({_turn(repr('user'), '''concat(r.instruction, if(coalesce(r.input, '') = '', '', concat('\\n\\n', r.input)))''')}, {_turn(repr('assistant'), 'r.output')}))"),
     Mapping("prompt", ("prompt", "completion"), "prompt string, completion string",
             f"array({_turn(repr('user'), 'r.prompt')}, {_turn(repr('assistant'), 'r.completion')})"),
+    Mapping("context", ("instruction", "response"), "system string, instruction string, context string, response string",
+            f"concat(if(r.system IS NULL, array(), array({_turn(repr('system'), 'r.system')})), array({_turn(repr('user'), """concat(r.instruction, if(coalesce(r.context, '') = '', '', concat('\\n\\n', r.context)))""")}, {_turn(repr('assistant'), 'r.response')}))"),
+    Mapping("response", ("prompt", "response"), "system string, prompt string, response string",
+            f"concat(if(r.system IS NULL, array(), array({_turn(repr('system'), 'r.system')})), array({_turn(repr('user'), 'r.prompt')}, {_turn(repr('assistant'), 'r.response')}))"),
     Mapping("preference", ("prompt", "chosen"), "prompt string, chosen string",
             f"array({_turn(repr('user'), 'r.prompt')}, {_turn(repr('assistant'), 'r.chosen')})"),
     Mapping("question", ("question", "answer"), "question string, answer string",
             f"array({_turn(repr('user'), 'r.question')}, {_turn(repr('assistant'), 'r.answer')})"),
+    Mapping("input", ("input", "output"), "input string, output string",
+            f"array({_turn(repr('user'), 'r.input')}, {_turn(repr('assistant'), 'r.output')})"),
 )
 
 
-def fingerprint(record: Column) -> Column:
-    """A hash of the nested field paths (with their kinds) of a JSON text; null if it isn't JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
-    return F.when(schema.isNotNull(), F.xxhash64(schema))
-
-
-def _paths(schema: str) -> set[str]:
-    """Field paths of a schema text such as OBJECT<a: ARRAY<OBJECT<b: STRING>>>; array steps are written []."""
-    out: set[str] = set()
-    stack: list[str] = []
-    name, i = "", 0
-    while i < len(schema):
-        c = schema[i]
-        if schema.startswith("OBJECT<", i):
-            stack.append(name)
-            name, i = "", i + 7
-        elif schema.startswith("ARRAY<", i):
-            stack.append(name)
-            name, i = f"{name}[]", i + 6
-        elif c == ">":
-            name = stack.pop() if stack else ""
-            i += 1
-        elif c == "`" or c.isalnum() or c == "_":
-            if c == "`":
-                j = schema.index("`", i + 1)
-                word, i = schema[i + 1 : j], j + 1
-            else:
-                j = i
-                while j < len(schema) and (schema[j].isalnum() or schema[j] in "_-"):
-                    j += 1
-                word, i = schema[i:j], j
-            if schema.startswith(": ", i):
-                base = stack[-1] if stack else ""
-                base = name if name.endswith("[]") and not stack else base
-                name = f"{base}.{word}" if base else word
-                out.add(name)
-                i += 2
-        else:
-            i += 1
-    return out
-
-
-#: Layouts (distinct schemas) that are looked up at most; a corpus with more is refused rather than cut.
-MAX_LAYOUTS = 10_000
+#: Steps of a schema text such as OBJECT<a: ARRAY<OBJECT<`b c`: STRING>>>: a name, the start of an object or an array, an end.
+_STEP = r"`(?:[^`]|``)*`: |[^\s<>,:`]+: |OBJECT<|ARRAY<|>"
+
+
+def paths(record: Column) -> Column:
+    """The nested field paths of a JSON text, array steps written []; null if it isn't JSON."""
+    steps = F.regexp_extract_all(F.schema_of_variant(F.try_parse_json(record)), F.lit(_STEP), F.lit(0))
+    texts = F.array().cast("array<string>")
+    zero = F.struct(F.lit("").alias("at"), texts.alias("above"), texts.alias("found"))
+
+    def walk(acc: Column, step: Column) -> Column:
+        above, at = acc["above"], acc["at"]
+        last = F.coalesce(F.get(above, F.size(above) - 1), F.lit(""))
+        name = F.regexp_replace(step, "^`?|`?: $", "")
+        path = F.when(last == "", name).otherwise(F.concat(last, F.lit("."), name))
+        ends, begins = step == ">", step.isin("OBJECT<", "ARRAY<")
+        return F.struct(
+            F.when(ends, last).when(step == "ARRAY<", F.concat(at, F.lit("[]"))).when(begins, at).otherwise(path).alias("at"),
+            F.when(ends, F.slice(above, F.lit(1), F.greatest(F.size(above) - 1, F.lit(0)))).when(begins, F.concat(above, F.array(at))).otherwise(above).alias("above"),
+            F.when(ends | begins, acc["found"]).otherwise(F.concat(acc["found"], F.array(path))).alias("found"),
+        )
+
+    return F.when(steps.isNotNull(), F.aggregate(steps, zero, walk, lambda acc: F.array_sort(F.array_distinct(acc["found"]))))
 
 
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
-    """The records with ``layout`` and ``turns``; all other columns stay."""
-    printed = records.withColumn("_print", fingerprint(F.col(record)))
-    kinds = printed.filter(F.col("_print").isNotNull()).groupBy("_print").agg(F.first(F.schema_of_variant(F.try_parse_json(F.col(record)))).alias("schema"))
-    seen = kinds.limit(MAX_LAYOUTS + 1).collect()
-    if len(seen) > MAX_LAYOUTS:
-        raise ValueError("the records have more layouts than can be mapped one by one")
-    of: dict[str, list[int]] = {}
-    for row in seen:
-        paths = _paths(row["schema"])
-        name = next((m.name for m in MAPPINGS if paths.issuperset(m.paths)), None)
-        if name:
-            of.setdefault(name, []).append(row["_print"])
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    """The records with ``layout``, ``layout_print`` (the hash of all field paths) and ``turns``; all other columns stay, those of these names as _layout and so on."""
+    row = records.select(F.struct(*[records[c] for c in records.columns]).alias("_row"), records[record].cast("string").alias("_record"))
+    row = row.withColumn("_paths", paths(F.col("_record")))
+    row = row.withColumn("_hashes", F.transform("_paths", lambda x: F.xxhash64(x)))
+    name = F.lit(None).cast("string")
+    for m in reversed(MAPPINGS):
+        wanted = F.array(*[F.xxhash64(F.lit(x)) for x in m.paths])
+        name = F.when(F.forall(wanted, lambda h: F.array_contains("_hashes", h)), F.lit(m.name)).otherwise(name)
+    row = row.withColumn("_layout", F.when(F.col("_hashes").isNotNull(), name))
+    turns = F.lit(None).cast(TURNS)
     for m in MAPPINGS:
-        if m.name in of:
-            mine = F.col("_print").isin(of[m.name])
-            layout = F.when(mine, F.lit(m.name)).otherwise(layout)
-            printed = printed.withColumn(f"_{m.name}", F.when(mine, F.from_json(F.col(record), m.schema)))
-            turns = F.when(mine, F.expr(m.turns.replace("r.", f"_{m.name}.")).cast(TURNS)).otherwise(turns)
-    out = printed.withColumn("layout", layout).withColumn("turns", F.coalesce(turns, F.array().cast(TURNS)))
-    clean = F.transform("turns", lambda x: F.struct(F.coalesce(x["role"], F.lit("")).alias("role"), F.coalesce(x["text"], F.lit("")).alias("text")))
-    return out.withColumn("turns", clean).drop("_print", *[f"_{n}" for n in of])
+        mine = F.col("_layout") == m.name
+        row = row.withColumn(f"_as_{m.name}", F.when(mine, F.from_json(F.col("_record"), m.schema)))
+        turns = F.when(mine, F.expr(m.turns.replace("r.", f"_as_{m.name}.")).cast(TURNS)).otherwise(turns)
+    clean = F.transform(F.coalesce(turns, F.array().cast(TURNS)), lambda x: F.struct(F.coalesce(x["role"], F.lit("")).alias("role"), F.coalesce(x["text"], F.lit("")).alias("text")))
+    new = {"layout": F.col("_layout"), "layout_print": F.when(F.col("_paths").isNotNull(), F.xxhash64("_paths")), "turns": clean}
+    return row.select(*_beside(records, new))
+
+
+def _beside(df: DataFrame, new: dict[str, Column], row: str = "_row") -> list[Column]:
+    """The columns of a frame that is held in a struct, and new ones; old columns of the same names get underscores in front."""
+    own = [F.col(row).getField(c).alias(shared.unused("_" + c, df) if c.lower() in new else c) for c in df.columns]
+    return [*own, *[x.alias(c) for c, x in new.items()]]
+
+
+def layout_counts(records: DataFrame) -> DataFrame:
+    """(layout, layout_print, n) of canonical records; a null layout counts the records that no mapping knows."""
+    return records.groupBy("layout", "layout_print").agg(F.count("*").alias("n"))
 
 
 def from_rows(rows: DataFrame) -> DataFrame:
@@ -151,7 +144,7 @@ def unescaped(text: Column) -> Column:
 def formatted(turns: DataFrame) -> DataFrame:
     """The rows with ``formatted`` and ``loss`` (array of start and length in code points, from 0)."""
     parts = F.transform("turns", lambda x: F.struct(F.concat(F.lit(START), F.url_encode(x["role"]), F.lit("\n")).alias("head"), escaped(x["text"]).alias("body"), (x["role"] == ASSISTANT).alias("loss")))
-    step = turns.withColumn("_parts", parts)
+    step = turns.select(F.struct(*[turns[c] for c in turns.columns]).alias("_row"), parts.alias("_parts"))
     text = F.array_join(F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END + "\n"))), "")
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("out"))
 
@@ -161,7 +154,7 @@ def formatted(turns: DataFrame) -> DataFrame:
         span = F.array(F.struct(start.alias("start"), size.alias("length")))
         return F.struct((start + size + len(END) + 1).alias("at"), F.when(p["loss"], F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    return step.withColumn("formatted", text).withColumn("loss", F.aggregate("_parts", zero, add, lambda acc: acc["out"])).drop("_parts")
+    return step.select(*_beside(turns, {"formatted": text, "loss": F.aggregate("_parts", zero, add, lambda acc: acc["out"])}))
 
 
 def read_back(formatted_text: Column) -> Column:
