@@ -2,7 +2,7 @@ import zstandard
 
 from tracemill.llm import quality
 
-from .common import awkward, frame, prose, rows, seeded, words
+from .common import SCHEMA, awkward, frame, prose, rows, seeded, words
 
 
 def brute(text, rules=quality.Rules()):
@@ -19,9 +19,10 @@ def brute(text, rules=quality.Rules()):
     raw, z = text.encode(), zstandard.ZstdCompressor(level=3)
     ratio = len(z.compress(raw)) / len(raw) if raw else 0
     low, high = next((a, b) for most, a, b in rules.bands if len(raw) <= most)
-    chunks = [len(z.compress(raw[k : k + 1024])) / 1024 for k in range(0, len(raw) - 1023, 1024)]
-    out = sum(not 0.40 <= c <= 0.75 for c in chunks)
-    good = low <= ratio <= high and out <= 0.5 * len(chunks)
+    starts = [*range(0, len(raw) - 1023, 1024), *([len(raw) - 1024] if len(raw) > 1024 and len(raw) % 1024 else [])]
+    chunks = [len(z.compress(raw[k : k + 1024])) / 1024 for k in starts]
+    out = sum(not 0.35 <= c <= 0.75 for c in chunks)
+    good = low <= ratio <= high and out <= 0.3 * len(chunks)
     return {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text), "n_dup_lines": dup,
             "n_repeat_words": len(hit), "base_failed": failed, "kept": not failed and good, "ratio": ratio, "n_chunks": len(chunks), "n_chunks_out": out}
 
@@ -50,6 +51,27 @@ def test_keep_good_carries_columns(spark):
     assert {r.doc_id for r in kept.collect()} == verdict and verdict
 
 
+def test_noise_in_part_of_a_text_and_in_its_tail(spark):
+    import base64
+    import random
+
+    rng = random.Random(4)
+    base = natural()[0]
+    noise = lambda n: base64.b64encode(rng.randbytes(n)).decode()[:n]
+    texts = [base[:12_000] + " " + noise(8000), base[:1100] + " " + noise(900), base[:20_000], base[:3000]]
+    got = rows(quality.judge(frame(spark, texts)))
+    assert [got[i]["kept"] for i in range(4)] == [False, False, True, True]
+    assert got[1]["n_chunks"] == 2 and got[1]["n_chunks_out"] == 1
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = natural()[0][:3000]
+    df = spark.createDataFrame([(None, text, "", "", 0), (1, text, "", "", 0), (1, text, "", "", 0), (1, None, "", "", 0)], SCHEMA)
+    got = [(r.doc_id, r.kept) for r in quality.judge(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, True), (1, True), (1, True), (1, False)], key=str)
+    assert quality.keep_good(df).count() == 3
+
+
 def test_empty_table(spark):
     assert quality.judge(frame(spark, [])).count() == 0
     assert quality.keep_good(frame(spark, [])).count() == 0

@@ -4,11 +4,11 @@ Zstandard ratios (compressed / raw UTF-8 bytes) of the whole document and of
 fixed chunks tell repetitive text (low) from noise (high).  Short texts compress
 worse than long ones, so the limits depend on the length: ``BANDS`` has, for each
 largest length in bytes, the lowest and highest ratio of a whole document that is
-kept; chunks all have the same length and one band, and a document is
-rejected if more than ``chunk_share`` of its chunks lie outside it.
+kept; chunks all have the same length and one band, the last is anchored at the text's end so that every byte is
+in a chunk, and a document is rejected if more than ``chunk_share`` of its chunks lie outside the band.
 
 Defined cases: null and empty texts have no words and fail the base rules; a
-ratio of an empty text is 0; texts shorter than a chunk have no chunks; rows are
+ratio of an empty text is 0; texts shorter than a chunk have no chunks but are judged whole; rows are
 judged one by one, so repeated rows get equal verdicts; an empty table gives an
 empty result; ``keep_good`` carries all columns whatever their names.
 """
@@ -43,9 +43,9 @@ class Rules:
 
     bands: tuple = BANDS
     chunk: int = 1024
-    chunk_low: float = 0.40
+    chunk_low: float = 0.35
     chunk_high: float = 0.75
-    chunk_share: float = 0.5
+    chunk_share: float = 0.3
     level: int = 3
     min_words: int = 50
     repeat_percent: int = 50
@@ -89,7 +89,10 @@ def _bands(t: Texts, r: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         if not raw:
             continue
         ratio[i] = len(z.compress(raw)) / len(raw)
-        for k in range(0, len(raw) - r.chunk + 1, r.chunk):
+        starts = [*range(0, len(raw) - r.chunk + 1, r.chunk)]
+        if starts and len(raw) % r.chunk:
+            starts.append(len(raw) - r.chunk)
+        for k in starts:
             x = len(z.compress(raw[k : k + r.chunk])) / r.chunk
             n[i] += 1
             outside[i] += not r.chunk_low <= x <= r.chunk_high
