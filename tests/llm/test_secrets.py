@@ -1,6 +1,8 @@
 import base64
 import hashlib
+import math
 import re
+from collections import Counter
 
 from tracemill.llm import secrets
 
@@ -67,3 +69,24 @@ def test_keys_in_parts_of_tokens(spark):
     for kind in range(5):
         assert sum(k in f for (_, k), f in list(zip(keys, found, strict=False))[kind::5]) >= 18, kind
     assert not any(found[len(keys) :])
+
+
+def test_both_error_controls():
+    rng = seeded(15)
+    bins = lambda ps: [(b, n) for b, n in Counter(min(secrets.BINS, int(-100 * math.log10(max(p, 1e-300)))) for p in ps).items()]
+    random, plain = [rng.random() for _ in range(300)], [0.4 * rng.random() ** 30 for _ in range(3000)]
+    limit = secrets.limit_of(bins(random + plain), 0.05)
+    shown = lambda ps: sum(n for b, n in bins(ps) if b < limit)
+    assert shown(plain) <= 0.15 * shown(random + plain) and shown(random) > 30
+    assert secrets.limit_of(bins(random), 0.05) > 150 and secrets.limit_of([], 0.05) == secrets.BINS + 1
+    assert secrets.limit_of([(40, 1)], 0.05) > 40 and secrets.limit_of([(2000, 500)], 0.05) <= 2000
+
+
+def test_carried_names_and_long_texts(spark):
+    rng = seeded(16)
+    token = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
+    text = "word é " * 150_000 + f"token={token} " + f"x{token[:30]} " * 2000 + "f" * 30
+    df = spark.createDataFrame([(1, text, 7, 8, 9)], "doc_id long, text string, assign int, spans int, _row int")
+    got = secrets.scan(df, carry=("doc_id", "assign", "spans", "_row")).collect()[0]
+    assert (got.doc_id, got.assign, got.spans, got["_row"]) == (1, 7, 8, 9)
+    assert [(s["start"], s["kind"], s["end"]) for s in got["_spans"] if s["kind"] < 3] == brute(text)

@@ -7,9 +7,10 @@ alphabet.  Beside whole tokens, the long parts between their - _ / + are tested
 alphabets, and UUIDs by their joined digits; a random span within another is left out.  Three tests of that hypothesis are made for each token: chi-squared
 uniformity of the symbols, the runs test of symbols above and below the middle, and
 the lag-one serial correlation; the token's p-value is three times the smallest.
-Tokens that are not random are the discoveries, and Benjamini-Hochberg control within length
-classes (short tokens have little evidence, long ones much) keeps the share of truly
-random strings among those discarded below ``q``.  The procedure works on a histogram of
+Two false-discovery controls act within length
+classes (short tokens have little evidence, long ones much).  Benjamini-Hochberg keeps the share of truly
+random strings among the discarded tokens below ``q``.  And the share of ordinary tokens among the reported ones is kept below
+``q`` as estimated from the p-values above a half, which random strings have as often as those below.  Both work on a histogram of
 -100 log10 p, whose size is bounded by classes x bins, with each p rounded up.
 
 Spans are in code points, end exclusive: ``kind:start:end``.  Positions come from the pieces
@@ -90,7 +91,9 @@ def _p_value(core: Column, k: Column, v: Column) -> Column:
         F.array_distinct(F.split(core, "")), F.lit(0.0), lambda acc, c: acc + F.pow(n - F.length(F.replace(core, c, F.lit(""))).cast("double"), F.lit(2.0))
     )
     chi = k / n * squares - n
-    p_chi = _tail((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
+    # few symbols of a large alphabet: a gamma law with the statistic's own mean and variance, by its cube root
+    shape = (k - 1) * n / (2 * (n - 1))
+    p_chi = _tail(3 * F.sqrt(shape) * (F.cbrt(chi / (k - 1)) - 1 + 1 / (9 * shape)))
     high = F.size(F.filter(v, lambda x: x > k / 2)).cast("double")
     low = n - high
     pairs = F.zip_with(F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1), lambda a, b: F.struct(a.cast("double").alias("a"), b.cast("double").alias("b")))
@@ -128,19 +131,29 @@ def _bin_of(p: Column) -> Column:
 
 
 def discard_from(found: DataFrame, q: float = Q) -> list[int]:
-    """For each length class the least bin whose tokens are discarded as not random (BINS + 1: none)."""
+    """For each length class the least bin whose tokens are not reported (BINS + 1: all are), by both controls."""
     tokens = found.select(F.explode("random").alias("x")).select(_class_of(F.col("x.length")).alias("class"), _bin_of(F.col("x.p")).alias("bin"))
     counts = tokens.groupBy("class", "bin").count().collect()  # at most len(CLASSES) * (BINS + 1) rows
-    out = []
-    for c in range(len(CLASSES)):
-        own = sorted(((r["bin"], r["count"]) for r in counts if r["class"] == c), reverse=True)
-        total, seen, least = sum(n for _, n in own), 0, BINS + 1
-        for b, n in own:
-            seen += n
-            if 10 ** (-b / 100) <= q * seen / total:
-                least = b
-        out.append(least)
-    return out
+    return [limit_of([(r["bin"], r["count"]) for r in counts if r["class"] == c], q) for c in range(len(CLASSES))]
+
+
+def limit_of(counts: list[tuple[int, int]], q: float) -> int:
+    """The least bin that is not reported, from the (bin, tokens) of a length class."""
+    total = sum(n for _, n in counts)
+    # discards: Benjamini-Hochberg, least p-values first
+    seen, discard = 0, BINS + 1
+    for b, n in sorted(counts, reverse=True):
+        seen += n
+        if 10 ** (-b / 100) <= q * seen / total:
+            discard = b
+    # reports: half of the random tokens have p above a half, others hardly any, which tells how many are random
+    random = min(total, 2 * (1 + sum(n for b, n in counts if b < 30)))
+    seen, report = 0, 0
+    for b, n in sorted(counts):
+        seen += n
+        if 1 - random * (1 - 10 ** (-(b + 1) / 100)) / seen <= q:
+            report = b + 1
+    return min(discard, report if counts else discard)
 
 
 def _matched(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
