@@ -151,7 +151,8 @@ def limit_of(counts: list[tuple[int, int]], q: float) -> int:
     seen, report = 0, 0
     for b, n in sorted(counts):
         seen += n
-        if 1 - random * (1 - 10 ** (-(b + 1) / 100)) / seen <= q:
+        ordinary = min(seen - random * (1 - 10 ** (-(b + 1) / 100)), total - random)
+        if ordinary <= q * seen:
             report = b + 1
     return min(discard, report if counts else discard)
 
