@@ -55,6 +55,34 @@ def test_unigram_is_viterbi(spark):
         assert math.isclose(sum(parts), best("▁" + t.replace(" ", "▁")))
 
 
+def test_unigram_over_a_whole_vocabulary_is_viterbi(spark):
+    """The vocabulary's pieces with scores of their own, as a unigram model: each text's path has the best score."""
+    bpe = pieces.Model.load()
+    scored = [(p, i, -1.0 - (i % 97) / 13 - len(p) / 7) for p, i, _ in bpe.pieces]
+    model = pieces.Model(scored, bpe.bytes_, bpe.unknown, pieces.UNIGRAM, True, bpe.texts)
+    by_id = {i: s for _, i, s in scored}
+    score, worst = {p: s for p, _, s in scored}, min(s for _, _, s in scored) - 10
+    rng = seeded(17)
+    texts = [prose(rng, 12) for _ in range(20)] + ["International ation, the of\n\n  and 12.5 été 漢"]
+    got = rows(pieces.encode(frame(spark, texts), model))
+    for i, t in enumerate(texts):
+        u = ("▁" + t.replace(" ", "▁")) if t else ""
+        best = [(0.0, ())] + [(-math.inf, ())] * len(u)
+        for e in range(1, len(u) + 1):
+            for s in range(max(0, e - bpe.longest), e):
+                x = score.get(u[s:e], worst if e - s == 1 else -math.inf)
+                if best[s][0] + x > best[e][0]:
+                    best[e] = (best[s][0] + x, s)
+        total, k = 0.0, 0
+        for x in got[i]["ids"]:  # byte pieces of one character count once
+            if x in bpe.bytes_:
+                k += 1
+                continue
+            total += by_id[x]
+        missing = [c for c in u if c not in score]
+        assert k == sum(len(c.encode()) for c in missing) and math.isclose(total + worst * len(missing), best[-1][0], rel_tol=1e-9), t
+
+
 def test_odd_rows(spark, library):
     assert pieces.encode(frame(spark, [])).count() == 0
     df = spark.createDataFrame([(None, "x y", "", "", 0), (1, "x y", "", "", 0), (1, "x y", "", "", 0), (1, "z", "", "", 0)], SCHEMA)

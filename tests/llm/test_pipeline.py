@@ -48,3 +48,19 @@ def test_stages_keep_columns(spark, tmp_path):
     for _, stage in C.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     assert simhash.keep_one(docs).count() == 1 and words("a b") == ["a", "b"]
+
+
+def test_empty_documents_repeated_rows_and_clashing_names(spark, tmp_path):
+    spark.createDataFrame([(1, prose(seeded(2), 30, 4000))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
+    text = prose(seeded(3), 90, 4000).replace("é", "e")
+    rows = [(1, text, "en", "s", 1)] * 3 + [(None, text, "en", "s", 1), (2, text.upper(), "en", "s", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    names = ["_gone", "_d", "_k", "drop", "tid", "sid", "rest", "_row"]
+    docs = docs.selectExpr("*", *[f"{i} AS {n}" for i, n in enumerate(names)])
+    for _, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns[5:] == names
+    assert sorted(r.doc_id or -1 for r in docs.collect()) == [-1, 1, 1, 1]
+    assert {tuple(r[5:]) for r in docs.collect()} == {tuple(range(len(names)))}

@@ -11,20 +11,40 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where that is unset (tests, one machine) a new local one."""
+    """The folder of spark.checkpoint.dir; only where that is unset and all runs on this machine (tests) a new local one."""
     sc = spark.sparkContext
     at = sc._jsc.sc().getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf and at.isDefined():
         conf = at.get()
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("a cluster needs a folder that all machines share in spark.checkpoint.dir")
         conf = tempfile.mkdtemp(prefix="tracemill-")
         sc.setCheckpointDir(conf)
     return conf.rstrip("/")
 
 
+#: Folders made by this process, in order.
+_made: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tracemill/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/tracemill/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def mark() -> int:
+    """The state before some work, for ``release``."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int, *keep: str) -> None:
+    """Delete the folders made since a mark but for those given; call it when no result reads them any more."""
+    for path in _made[since:]:
+        if path not in keep:
+            drop_path(spark, path)
+    _made[since:] = keep
 
 
 def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
