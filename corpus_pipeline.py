@@ -54,10 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; between stages the rows are a table in the shared folder."""
+    """All stages over documents; between stages the rows are a table in the shared folder, and what led to it is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    begun = shared.mark()
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = shared.stored(docs, f"stage-{k}")
+            path = shared.new_path(spark, f"stage-{k}")
+            docs.write.option("compression", "zstd").parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            shared.release(spark, begun, path)
     return docs
