@@ -98,6 +98,23 @@ def test_runs_meet_without_a_shuffle(spark, capsys):
     assert {r.n_docs for r in runs.common(2).collect()} == {2} and runs.common(2).count() == 30
 
 
+def test_heavy_keys_are_split_and_nothing_is_lost(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tracemill.llm import shared
+
+    monkeypatch.setattr(shared, "LIGHT", 5)
+    monkeypatch.setattr(shared, "HEAVY", 4)
+    left = spark.createDataFrame([(0 if i < 300 else i % 40, i) for i in range(600)], "k int, v int")
+    right = left.groupBy(F.col("k").alias("_k")).agg(F.count("*").alias("n"), F.max("v").alias("top")).filter("_k % 3 = 0")
+    want = sorted(r.v for r in left.collect() if r.k % 3 == 0)
+    for how in ("inner", "left_semi"):
+        got = shared.spread_join(left, right, ["k"], ["_k"], "n", how)
+        assert sorted(r.v for r in got.collect()) == want and "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    got = shared.spread_join(left, right, ["k"], ["_k"], "n", "left_anti")
+    assert sorted(r.v for r in got.collect()) == sorted(set(range(600)) - set(want))
+
+
 def test_long_runs_of_blanks_and_a_hot_line(spark):
     line = " " * 40 + "the line that a third of all documents holds, in any case" + "\t" * 70
     texts = [line if i % 3 == 0 else f"{i} own text\n" + " " * 50 for i in range(90)] + [("word " * 9 + "\n") * 60_000 + line]

@@ -57,6 +57,23 @@ def test_similar_to_some_only(spark):
     assert near_copies.keep_one(frame(spark, chain)).count() == 1
 
 
+def test_blocks_leave_no_pair_out(spark, monkeypatch):
+    data = sample() + [" ".join(f"v{i}" for i in range(40)) + f" w{k} " + " ".join(f"v{i}" for i in range(40 + k % 9)) for k in range(60)]
+    want, _ = brute(data)
+    tested = []
+    real = near_copies._settled
+    monkeypatch.setattr(near_copies, "_settled", lambda *a: tested.append(1) or real(*a))
+    for block in (4, 512):
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        slim = near_copies._slim(frame(spark, data))
+        facts = near_copies.shared.stored(near_copies._facts(slim, 5), "test")
+        assert facts.count() == len(data)
+        monkeypatch.setattr(near_copies.links, "__defaults__", (5, 80, 0))  # no rounds of centres: blocks must find all
+        got = {i: r["component_id"] for i, r in rows(near_copies.classes(frame(spark, data))).items()}
+        assert got == dict(enumerate(want))
+    assert len(tested) == 2
+
+
 def test_pipeline_stage_drops_near_copies(spark):
     import corpus_pipeline as C
 

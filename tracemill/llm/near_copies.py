@@ -7,9 +7,10 @@ of operator 5, and ``BANDS`` keys of ``ROWS`` minimum hashes each, of which a pa
 shares at least one with probability 1 - (1 - s^ROWS)^BANDS (0.9998 at 0.8).  All that share a key
 are one bucket, and every link is verified on the whole sets.
 
-Equal sets are one row.  In a bucket only pairs of different classes are compared: two
-rounds compare all members with one of them, which settles groups of copies in
-linear time, and a last round compares each pair whose classes still differ, so no pair of a bucket is left out.
+Equal sets are one row.  In a bucket only pairs of different classes are compared: first
+all members are compared with one of them, which settles groups of copies in
+linear time.  In buckets whose classes still differ, all pairs are tested inside tasks, block by block of members; only
+links that connect different classes leave a task, so no pair is left out and none is emitted for being in a bucket.
 
 Defined cases: fewer words than a shingle give one shingle of all words; texts without words are copies of each
 other; repeated rows share a class; rows without a doc_id stay; an empty table gives an
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from . import shared, simhash
 from .tokens import M1, Texts, grams, hash_spans, lowered, mix, pair, sliced, texts_of, words_of
 
-SHINGLE, PERCENT, BANDS, ROWS = 5, 80, 16, 4
+SHINGLE, PERCENT, BANDS, ROWS, BLOCK = 5, 80, 16, 4, 512
 U = np.uint64
 #: One bijection of 64 bits for each minimum hash.
 _FLIP = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * M1)
@@ -98,7 +99,7 @@ def _facts(slim: DataFrame, shingle: int) -> DataFrame:
 
 
 def _sets(slim: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(sid, grams) of the texts with a wanted tid; a bitmap of fixed size leaves most others out before the join."""
+    """(sid, grams, small: 4 bytes of each) of the texts with a wanted tid; a bitmap of fixed size leaves most others out before the join."""
     bits = slim.sparkSession.sparkContext.broadcast(shared.bitmap(wanted, "tid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,10 +110,12 @@ def _sets(slim: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             for part in sliced(batch.take(pa.array(np.sort(once)))):
                 g, first = shingle_sets(texts_of(part.column("text")), shingle)
                 sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(g.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(_names(g, first)), sets], ["sid", "grams"])
+                data, cut = g.astype("<u4").tobytes(), (4 * first).tolist()
+                small = pa.array([data[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_names(g, first)), sets, small], ["sid", "grams", "small"])
 
-    found = slim.select("text", "tid").mapInArrow(run, "sid long, grams array<long>")
-    return found.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("grams").alias("grams"))
+    found = slim.select("text", "tid").mapInArrow(run, "sid long, grams array<long>, small binary")
+    return found.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("grams").alias("grams"), F.first("small").alias("small"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -128,7 +131,7 @@ def _ordered(a, b) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
+def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = 1) -> DataFrame:
     """(node, root): the classes that verified pairs make, from ``own`` (sid, tid, fp, bands), one row a set."""
     tree = simhash.components(simhash.links(own.select("fp").distinct())).select(F.col("node").alias("fp"), "root")
     by_fp = own.select("sid", "fp").join(tree, "fp", "left").select("sid", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key"))
@@ -140,26 +143,100 @@ def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int
     sets = shared.stored(_sets(slim, wanted, shingle), "near-sets")
     tested = classes = None
     edges = own.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
-    for k in range(rounds + 1):
+    for turn in range(rounds + 1):
         named = rows.withColumn("root", F.col("sid")) if classes is None else rows.join(classes, F.col("sid") == F.col("node"), "left").select("sid", "key", F.coalesce("root", "sid").alias("root"))
-        mixed = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(F.struct(F.xxhash64("sid", F.lit(k)), "sid", "root")).alias("c")).filter("r0 <> r1")
-        mixed = shared.stored(mixed, "near-centres")
+        first = F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "root"))
+        mixed = named.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("r0"), F.max("root").alias("r1"), first.alias("c"), F.count("*").alias("n"))
+        mixed = shared.stored(mixed.filter("r0 <> r1").select("_key", "n", "c"), "near-mixed")
         if not mixed.head(1):
             break
-        if k < rounds:
-            pairs = named.join(mixed, "key").filter(F.col("root") != F.col("c.root")).select(*_ordered("sid", "c.sid"))
+        if turn < rounds:
+            found = shared.spread_join(named, mixed, ["key"], ["_key"], "n").filter(F.col("root") != F.col("c.root"))
+            pairs = found.select(*_ordered("sid", "c.sid")).distinct()
+            pairs = shared.stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
         else:
-            named = shared.stored(named.join(mixed, "key", "left_semi"), "near-mixed")
-            other = named.select("key", F.col("sid").alias("sid2"), F.col("root").alias("root2"))
-            pairs = named.join(other, "key").filter("sid < sid2 and root <> root2").select(F.col("sid").alias("a"), F.col("sid2").alias("b"))
-        pairs = pairs.distinct()
-        pairs = shared.stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            pairs = _settled(shared.spread_join(named, mixed.drop("c"), ["key"], ["_key"], "n"), sets, percent).distinct()
         edges = edges.unionByName(shared.stored(_verified(pairs, sets, percent), "near-edges"))
         classes = simhash.components(edges)
     return simhash.components(edges) if classes is None else classes
 
 
+def _settled(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different roots that members (sid, key, root, n) of a bucket have beyond those that connect the same; tested in the task.
+
+    A bucket is dealt into blocks of some BLOCK members, and each pair of blocks is a task's group, so a group is bounded whatever the
+    bucket's size.  Sets are compared by 32 bits of each hash, which can only make them more similar; hits are verified on the whole sets.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
+    parts = members.select("sid", "root", "key", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    parts = parts.select("sid", "root", "block", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    parts = parts.join(sets.select("sid", "small"), "sid").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if sum(x.num_rows for x in held) > 1:
+                t = pa.Table.from_batches(held).combine_chunks()
+                a, b = block_links(*(t.column(c).to_numpy() for c in ("sid", "root", "block")), t.column("small").to_pylist(), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        last = None
+        for batch in batches:
+            name = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "i", "j")])
+            cut = [0, *(np.flatnonzero((name[:, 1:] != name[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for k, stop in zip(cut, cut[1:], strict=False):
+                if stop > k:
+                    if last != tuple(name[:, k]):
+                        yield from done()
+                        held, last = [], tuple(name[:, k])
+                    held.append(batch.slice(k, stop - k))
+        yield from done()
+
+    return parts.mapInArrow(run, "a long, b long")
+
+
+def block_links(sid: np.ndarray, root: np.ndarray, block: np.ndarray, small: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the similar pairs of different roots among two blocks' members (of one block: all), lesser sid first."""
+    sizes = np.array([len(x) // 4 for x in small])
+    hashes = np.frombuffer(b"".join(small), "<u4")
+    who = np.repeat(np.arange(len(sid)), sizes)
+    _, code, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    many = count[code] > 1
+    number = np.cumsum(count > 1) - 1
+    who, code = who[many], number[code[many]]
+    both = np.zeros((len(sid), len(sid)), np.float32)
+    order = np.argsort(code, kind="stable")
+    who, code = who[order], code[order]
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        f, l = np.searchsorted(code, (low, low + 4096))
+        held = np.zeros((len(sid), 4096), np.float32)
+        held[who[f:l], code[f:l] - low] = 1
+        both += held @ held.T
+    near = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    near &= root[:, None] != root[None, :]
+    if (block != block[0]).any():
+        near &= block[:, None] != block[None, :]
+    a, b = np.nonzero(np.triu(near, 1))
+    top = {int(r): int(r) for r in np.unique(root)}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(int(root[x])), find(int(root[y]))
+        if p != q:
+            top[p] = q
+            out.append(sorted((int(sid[x]), int(sid[y]))))
+    found = np.array(out, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, sid, component_id): the smallest doc_id of the class of each document."""
     slim = _slim(docs)

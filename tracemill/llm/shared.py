@@ -62,8 +62,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: A key is heavy if it has more than one in HEAVY of all rows, so there are fewer than HEAVY such keys, whatever the input.
-HEAVY = 1024
+#: A key is heavy if it has more than one in HEAVY of all rows, so there are fewer than HEAVY such keys, whatever the input; LIGHT rows are never many.
+HEAVY, LIGHT = 1024, 500
 
 
 def spread_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str], n: str, how: str = "inner") -> DataFrame:
@@ -72,9 +72,12 @@ def spread_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     Heavy keys are broadcast (fewer than HEAVY rows of ``right``), so that their rows stay where they are; all other keys are
     shuffled, and none of them has more than one in HEAVY of the rows.  Both sides are read twice: give stored tables.  how: inner, left_semi or left_anti.
     """
-    total = right.agg(F.sum(n)).head()[0] or 0
-    heavy, light = right.filter(F.col(n) * HEAVY > total), right.filter(F.col(n) * HEAVY <= total)
+    total, most = right.agg(F.sum(n), F.max(n)).head()
+    limit = max(LIGHT, (total or 0) // HEAVY)
+    heavy, light = right.filter(F.col(n) > limit), right.filter(F.col(n) <= limit)
     on = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on, strict=True)]
+    if (most or 0) <= limit:
+        return left.join(right, on, how)
     rest = left.join(F.broadcast(heavy.select(*right_on)), on, "left_anti")
     rest = rest.join(light, on, how)
     return rest if how == "left_anti" else left.join(F.broadcast(heavy), on, how).unionByName(rest)
