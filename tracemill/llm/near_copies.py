@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import shared, simhash
 from .tokens import M1, Texts, grams, hash_spans, lowered, mix, pair, sliced, texts_of, words_of
 
-SHINGLE, PERCENT, BANDS, ROWS, BLOCK = 5, 80, 16, 4, 512
+SHINGLE, PERCENT, BANDS, ROWS, BLOCK = 5, 80, 16, 4, 256
 U = np.uint64
 #: One bijection of 64 bits for each minimum hash.
 _FLIP = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * M1)
