@@ -120,13 +120,29 @@ def test_numbers_and_times(spark):
 
 
 def test_context_line(spark):
-    cases = [("", ""), ("a\r\nb\r\n\r\n", "b"), ("Отчет.Х : 1 : a\n\tМ : 2 : Процессор.Вывести (x)", "Отчет.Х : 1 : a"), ("Отчет.Х : 1 : a\nМ : 2 : ПереВывести(x)", "М : 2 : ПереВывести(x)"),
-             ("Отчет.Х : 1 : a\nМ : 2 : ВывестиВДокумент(x)", "М : 2 : ВывестиВДокумент(x)"), ("Report.A : 1 : a\nM : 2 : Obj.Initialize(p)", "M : 2 : Obj.Initialize(p)"),
-             ("Report.A : 1 : a\n\tReport.B : 1 : b\nM : 2 : DataComposition.Initialize(p)", "\tReport.B : 1 : b"), ("ОтчетНедели : 1 : a\nМ : 2 : Вывести(x)", "М : 2 : Вывести(x)")]
+    own, other = "Report.Sales : 3 : Run();", "Common.Lib : 8 : "
+    cases = [("", ""), ("q\r\nw\r\n\r\n", "w"), (f"{own}\n\t{other}Engine.Output (x)", own), (f"{own}\n{other}MyOutput(x)", f"{other}MyOutput(x)"), (f"{own}\n{other}OutputAll(x)", f"{other}OutputAll(x)"),
+             (f"{own}\n{other}Thing.Initialize(p)", f"{other}Thing.Initialize(p)"), (f"{own}\n\tDataProcessor.Two : 1 : z\n{other}DataComposition.Initialize(p)", "\tDataProcessor.Two : 1 : z"),
+             (f"Reporting : 1 : a\n{other}Output(x)", f"{other}Output(x)")]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, c string")
     assert [r[0] for r in df.orderBy("i").select(S.context_line(F.col("c"))).collect()] == [w for _, w in cases]
 
 
+def test_parsed_in_the_jvm_as_in_python(spark):
+    texts = ["41:07.120034-0090,LOAD,2,A=1,B='x''y',C=\"q\",D", "41:07.120034-9,LOAD", "41:07.1-,E,", "41:07.120034-00,E,L,K='un\nclosed\r\n", "a-b-c,E,1,=,=v"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, body string")
+    for r in P.parse_events(df).collect():
+        want = G.parse_event(texts[r.i])
+        got = None if r.parse_error else (r.time, r.duration, r.event, r.level, [(p["name"], p["value"], p["quoted"]) for p in r.props])
+        assert got == want, texts[r.i]
+
+
+def test_filters_and_columns_reach_below_the_parse(spark, tmp_path):
+    raw = techlog.load(spark, tree(tmp_path))
+    plan = raw.select("event", "duration")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # properties aren't parsed for nobody
+
+
 def test_fingerprint_rules():
     cases = {
         "y = 'it''s' AND n = N'u'": ("y = ? AND n = ?", ["it's", "u"]), "x = -5 - 5": ("x = ? - ?", ["-5", "5"]), "0x1F .5 5. 1e5 T2": ("? ? ? ? T2", ["0x1F", ".5", "5.", "1e5"]),
