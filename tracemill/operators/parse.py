@@ -92,8 +92,8 @@ def to_bench(raw: DataFrame) -> DataFrame:
     )
 
 
-def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = True) -> DataFrame:
-    """The wide table of 50 columns (and ``event_date`` to partition by)."""
+def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The wide table of 50 columns (and ``event_date`` to partition by); ``keep`` names columns of ``raw`` that stay."""
     step = raw.select(*[c for c in raw.columns if c != "props"], once(_m=first_wins(F.col("props"))))
     get = lambda name: S.map_get(F.col("_m"), name)
     text = {c: get(p) for c, p in HOT.items()} | {c: S.first_nonempty(*map(get, names)) for c, names in FIRST_OF.items()}
@@ -108,7 +108,7 @@ def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = Tru
         "context_hash": S.text_hash(text["context"]), "context_line": S.context_line(text["context"], smart_context), "sql_hash": S.text_hash(text["sql_text"]),
         "props": F.map_filter("_m", lambda k, v: ~k.isin(*IN_COLUMNS) | odd_session(k, v)),
     }
-    out = step.select(*[x.alias(c) for c, x in columns.items()])
+    out = step.select(*[x.alias(c) for c, x in columns.items()], *keep)
     out = with_fingerprint(out) if fingerprints else out
     return out.withColumn("event_date", F.to_date("ts"))
 

@@ -45,7 +45,6 @@ DB = "FROM f WHERE event = 'DBMSSQL'"
 _rich("Q-C1", "SELECT DISTINCT process_name FROM f", lambda r: D.distinct_values(r, "process_name"))
 _rollup("Q-C2", "SELECT usr, count(*) AS n FROM f WHERE usr <> '' AND context <> '' GROUP BY usr ORDER BY n DESC, usr LIMIT 200", R.AGG_CONTEXT, D.active_users)
 _rich("Q-C3", f"SELECT {MIN} AS time, quantile_cont(duration_us, 0.5) AS p50_us, quantile_cont(duration_us, 0.95) AS p95_us, quantile_cont(duration_us, 0.99) AS p99_us, count(*) AS calls_per_min {CALLS} GROUP BY 1", D.response_by_minute_exact)
-_rollup("Q-C3_sketch", None, R.AGG_MINUTE, D.response_by_minute)
 _rich("Q-C4", f"""SELECT CASE WHEN method_name = '' THEN '(нет)' ELSE method_name END AS method_name, iface_name, count(*) AS calls, {I('duration_us')} AS total_us, max(duration_us) AS max_us, {I('cpu_time_us')} AS cpu_us,
   {I('in_bytes + out_bytes')} AS io_bytes, 100 * {I('duration_us')} / CAST(sum(sum(duration_us)) OVER () AS BIGINT) AS pct, {I('duration_us')} / count(*) AS avg_us {CALLS} GROUP BY f.method_name, iface_name ORDER BY total_us DESC, f.method_name, iface_name LIMIT 20""", D.top_methods)
 _rich("Q-C5", f"SELECT CASE WHEN usr = '' THEN '(нет)' ELSE usr END AS usr, count(*) AS calls, {I('duration_us')} AS total_us, {I('cpu_time_us')} AS cpu_us, max(memory_peak) AS mem_peak_max {CALLS} GROUP BY f.usr ORDER BY total_us DESC, f.usr LIMIT 20", D.top_users)
@@ -58,13 +57,15 @@ _rich("Q-C9", f"SELECT ts, usr, session_id, process_name, method_name, duration_
 
 # ---- database
 _rich("Q-D0", f"SELECT DISTINCT db_name {DB}", lambda r: D.distinct_values(r, "db_name"))
-_rollup("Q-D1", f"SELECT {MIN} AS time, {I('duration_us')} / 60e6 AS busy_workers, count(*) AS queries_per_min {DB} GROUP BY 1", R.AGG_MINUTE, lambda m: D.busy_by_minute(m).drop("p95_s"))
 _rich("Q-D2", f"SELECT db_name, count(*) AS calls, {I('duration_us')} AS total_us, 100 * {I('duration_us')} / (SELECT {I('duration_us')} {DB}) AS pct {DB} GROUP BY db_name ORDER BY total_us DESC, db_name LIMIT 20", D.database_profile)
 _rich("Q-D3", f"""SELECT trim(context_line, ' ' || chr(9)) AS context_line, count(*) AS calls, {I('duration_us')} AS total_us, 100 * {I('duration_us')} / (SELECT {I('duration_us')} {DB}) AS pct, count(DISTINCT sql_text) AS uniq_sql
   {DB} AND context_line <> '' GROUP BY 1 ORDER BY total_us DESC, 1 LIMIT 20""", D.code_lines)
+#: the latest event's value: ties in time go by path, text and context
+LATEST = ("arg_max({}, {{'a': ts, 'b': " + _PATH + ", 'c': sql_text, 'd': context}})").format
 _BUCKET = "CASE WHEN param_count = 3 OR param_count = 5 THEN '2-10' ELSE '11-100' END"
-_rollup("Q-D4", f"""SELECT count(*) AS calls, {I('duration_us')} AS total_us, max(duration_us) AS max_us, {I('rows_ret')} AS rows_sum, count(DISTINCT {_BUCKET}) AS buckets, 100 * {I('duration_us')} / (SELECT {I('duration_us')} FROM f WHERE sql_norm <> '') AS pct
-  FROM f WHERE sql_norm <> '' GROUP BY sql_norm ORDER BY total_us DESC LIMIT 20""", R.AGG_QUERY2, lambda q: D.top_queries(q).drop("norm_hash_hex", "sql", "context_line"))
+_rollup("Q-D4", f"""SELECT count(*) AS calls, {I('duration_us')} AS total_us, max(duration_us) AS max_us, {I('rows_ret')} AS rows_sum, count(DISTINCT {_BUCKET}) AS buckets, 100 * {I('duration_us')} / (SELECT {I('duration_us')} FROM f WHERE sql_norm <> '') AS pct,
+  substr({LATEST('sql_text')}, 1, 160) AS sql, trim({LATEST('f.context_line')}, ' ' || chr(9)) AS context_line
+  FROM f WHERE sql_norm <> '' GROUP BY sql_norm ORDER BY total_us DESC LIMIT 20""", R.AGG_QUERY2, lambda q: D.top_queries(q).drop("norm_hash_hex"))
 _rollup("Q-D5", f"SELECT {_BUCKET} AS params, count(*) AS calls, {I('duration_us')} AS total_us FROM f WHERE sql_norm <> '' GROUP BY sql_norm, 1", R.AGG_QUERY2, lambda q: D.parameter_degradation(q).drop("sql"))
 _rich("Q-D6", f"SELECT ts, usr, db_name, duration_us, rows_ret, sql_text, context_line {DB} ORDER BY duration_us DESC, ts, {_PATH}, session_id, connect_id LIMIT 50", lambda r: D.worst(r, "DBMSSQL", "duration_us", ("ts", "usr", "db_name", "duration_us", "rows_ret", "sql_text", "context_line"), 50))
 _rich("Q-D7", f"SELECT {MIN} AS time, event, count(*) AS cnt FROM f WHERE event = 'QERR' GROUP BY 1, 2", lambda r: D.per_minute(r, ("QERR",)))
@@ -129,7 +130,6 @@ _rich("PRJ-1", "SELECT event_id, context, sql_text, descr, exception, lock_regio
 _rich("PRJ-2", "SELECT k, count(*) AS n FROM f, (VALUES ('Tail'), ('EventId')) AS t(k) GROUP BY k", lambda r: r.select(F.explode(F.map_keys("props")).alias("k")).groupBy("k").agg(F.count("*").alias("n")))
 _add("PRJ-3", "SELECT 'second' AS tail, count(*) AS n FROM f", lambda s, d: P.to_bench(C.raw(s, d)).groupBy(F.col("props")["Tail"].alias("tail")).agg(F.count("*").alias("n")))
 _add("PRS-1", "SELECT event, '1' AS level, count(*) AS n, CAST(sum(duration_us) AS BIGINT) AS total FROM f GROUP BY 1", lambda s, d: C.raw(s, d).groupBy("event", "level").agg(F.count("*").alias("n"), F.sum(F.col("duration").cast("bigint")).alias("total")))
-_add("AGG-10", "SELECT event, count(*) * 25 AS n FROM f GROUP BY 1", lambda s, d: C.raw(s, d).select("event", F.explode("props").alias("p")).groupBy("event").agg(F.count("*").alias("n")))
 _add("PRS-3", "SELECT doc_id, coalesce(text, '') AS text FROM documents", lambda s, d: _quoted(s, d, "'"))
 _add("PRS-4", SQL["PRS-3"], lambda s, d: _quoted(s, d, '"'))
 
@@ -167,11 +167,12 @@ _rich("PRJ-7", f"SELECT CASE WHEN param_count = 0 THEN '0' ELSE {_BUCKET} END AS
 _M = f"count(*) AS cnt, {I('duration_us')} AS dur_sum"
 _rollup("AGG-3", f"SELECT {MIN} AS minute, event, process_name, computer_name, {_M}, max(duration_us) AS dur_max, {I('cpu_time_us')} AS cpu_sum, max(memory_peak) AS mem_peak_max, {I('in_bytes + out_bytes')} AS io_bytes FROM f GROUP BY ALL", R.AGG_MINUTE, lambda x: x.drop("dur_q", "last_at"))
 _rollup("AGG-4", f"SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period, event, usr, context_line, {_M}, {I('memory')} AS mem_sum FROM f WHERE context <> '' GROUP BY ALL", R.AGG_CONTEXT, lambda x: x.groupBy("period", "event", "usr", "context_line").agg(*[F.sum(c).alias(c) for c in ("cnt", "dur_sum", "mem_sum")]))
-_rollup("AGG-5", f"SELECT {HOUR} AS hour, db_name, {_M}, max(duration_us) AS dur_max, {I('rows_ret')} AS rows_sum FROM f WHERE event = 'DBMSSQL' GROUP BY hour, db_name, sql_text", R.AGG_QUERY, lambda x: x.select("hour", "db_name", "cnt", "dur_sum", "dur_max", "rows_sum"))
-_rollup("AGG-6", f"SELECT {HOUR} AS hour, dbms, {_BUCKET} AS param_bucket, {_M}, {I('param_count')} AS params_sum FROM f WHERE sql_norm <> '' GROUP BY hour, dbms, sql_norm, 3", R.AGG_QUERY2, lambda x: x.select("hour", "dbms", "param_bucket", "cnt", "dur_sum", "params_sum"))
+_rollup("AGG-5", f"SELECT {HOUR} AS hour, db_name, {_M}, max(duration_us) AS dur_max, {I('rows_ret')} AS rows_sum, min(sql_text) AS sql_sample, {LATEST('context_line')} AS context_sample FROM f WHERE event = 'DBMSSQL' GROUP BY hour, db_name, sql_text",
+        R.AGG_QUERY, lambda x: x.select("hour", "db_name", "cnt", "dur_sum", "dur_max", "rows_sum", "sql_sample", "context_sample"))
+_rollup("AGG-6", f"SELECT {HOUR} AS hour, dbms, {_BUCKET} AS param_bucket, {_M}, {I('param_count')} AS params_sum, {LATEST('f.db_name')} AS db_name, {LATEST('sql_text')} AS sql_sample, {LATEST('context_line')} AS context_sample FROM f WHERE sql_norm <> '' GROUP BY hour, dbms, sql_norm, 3",
+        R.AGG_QUERY2, lambda x: x.select("hour", "dbms", "param_bucket", "cnt", "dur_sum", "params_sum", "db_name", "sql_sample", "context_sample"))
 _rollup("AGG-7", f"SELECT {MIN} AS minute, event, usr, substr(lock_regions, 1, 128) AS lock_regions_short, count(*) AS cnt, {I('duration_us')} AS wait_us_sum, max(duration_us) AS wait_us_max {LOCKED} GROUP BY ALL", R.AGG_LOCKS, lambda x: x.drop("last_at"))
 _add("STR-13", SQL["AGG-3"].removeprefix(_WITH), lambda s, d: (lambda r: R.merge(R.build(r.filter("connect_id % 2 = 0"), R.AGG_MINUTE).unionByName(R.build(r.filter("connect_id % 2 = 1"), R.AGG_MINUTE)), R.AGG_MINUTE).drop("dur_q", "last_at"))(C.rich(s, d)))
-_rich("AGG-1", "SELECT context, count(*) AS n FROM (SELECT replace(context, chr(13), '') AS context FROM f WHERE context <> '') GROUP BY 1", lambda r: r.filter("context <> ''").groupBy(F.replace("context", F.lit("\r"), F.lit("")).alias("context")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "context"))
 _events("STR-16", """WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
 SELECT user_id, min(ts) AS begin, count(*) AS n FROM s GROUP BY user_id, s""", lambda x: x.groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.min("ts").alias("begin"), F.count("*").alias("n")).drop("session_window"))
 for _name in ("Q-E2", "JOIN-4", "Q-R3"):

@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import inventory as I
 from ..operators import parse as P
+from ..operators import rollups as R
+from ..operators.contexts import first_contexts
 from ..operators.fingerprint import fingerprint
-from ..sources import techlog
+from ..sources import store, techlog
+from ..streaming.metrics import by_collection
 from . import carrier as C
 from . import dashboards as D
 
@@ -243,3 +247,87 @@ def without_smartness(x):
 @_query("CTX-1", "documents", "SELECT doc_id, coalesce(list_filter(string_split(replace(text, chr(13), ''), chr(10)), lambda x: x <> '')[-1], '') AS line FROM documents")
 def last_lines(x):
     return x.select("doc_id", S.context_line(F.coalesce("text", F.lit("")), smart=False).alias("line"))
+
+
+# ---- sketches: each reported quantile must stand at a rank within the sketches' error
+
+#: Rank error that is allowed (share of the rows); sketches of the default size stay within half of it with probability 0.99.
+RANK_ERROR = 0.03
+
+
+def _in_rank(report: DataFrame, rows: DataFrame, key: str, quantiles: dict[str, float], unit: float = 1.0, half: float = 0.0) -> DataFrame:
+    """The report with each quantile replaced by whether the rows (key, v) put it at its rank; ``half`` is half a unit of its last digit."""
+    said = {c: F.col(c) * unit for c in quantiles}
+    places = [F.count("*").alias("_n")]
+    for c, x in said.items():
+        places += [F.count_if(F.col("v") < x - half).alias(f"_below_{c}"), F.count_if(F.col("v") <= x + half).alias(f"_to_{c}")]
+    found = rows.join(report.select(key, *quantiles), key).groupBy(key).agg(*places)
+    good = lambda c, q: (F.col(f"_below_{c}") <= (q + RANK_ERROR) * F.col("_n") + 1) & (F.col(f"_to_{c}") >= (q - RANK_ERROR) * F.col("_n") - 1)
+    return report.drop(*quantiles).join(found, key).select(*[c for c in report.columns if c not in quantiles], *[good(c, q).alias(c) for c, q in quantiles.items()])
+
+
+def _minutes(rich: DataFrame, event: str) -> DataFrame:
+    return rich.filter(F.col("event") == event).select(S.minute(F.col("ts")).alias("time"), F.col("duration_us").alias("v"))
+
+
+def _sketched(name: str, sql: str, event: str, quantiles: dict[str, float], report: Callable[[DataFrame], DataFrame], half: float) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        rich = C.rich(spark, d)
+        return _in_rank(report(R.build(rich, R.AGG_MINUTE)), _minutes(rich, event), "time", quantiles, 1e6, half)
+
+    QUERIES[name], SQL[name] = run, _FACTS + sql
+
+
+_sketched(
+    "Q-C3_sketch", "SELECT date_trunc('minute', ts) AS time, count(*) AS calls_per_min, true AS p50_s, true AS p95_s, true AS p99_s FROM f WHERE event = 'CALL' GROUP BY 1",
+    "CALL", {"p50_s": 0.5, "p95_s": 0.95, "p99_s": 0.99}, D.response_by_minute, 500.0,
+)
+_sketched(
+    "Q-D1", "SELECT date_trunc('minute', ts) AS time, CAST(sum(duration_us) AS BIGINT) / 60e6 AS busy_workers, count(*) AS queries_per_min, true AS p95_s FROM f WHERE event = 'DBMSSQL' GROUP BY 1",
+    "DBMSSQL", {"p95_s": 0.95}, D.busy_by_minute, 5000.0,
+)
+
+
+@_query("FN-20_sketch", "events", "SELECT event_type, true AS p50, true AS p95, true AS p99 FROM events GROUP BY 1")
+def merged_sketches(x):
+    """Sketches of a hundred parts, merged."""
+    rows = x.select("event_type", F.floor(F.col("value") * 1000).cast("bigint").alias("v"), (F.col("event_id") % 100).alias("part"))
+    parts = rows.groupBy("event_type", "part").agg(F.kll_sketch_agg_bigint("v").alias("q"))
+    merged = parts.groupBy("event_type").agg(F.kll_merge_agg_bigint("q").alias("q"))
+    quantiles = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    report = merged.select("event_type", *[R.quantile(F.col("q"), q).alias(c) for c, q in quantiles.items()])
+    return _in_rank(report, rows.drop("part"), "event_type", quantiles)
+
+
+# ---- contexts by the parity of quotes, inventory, records, figures by collection
+
+SQL["AGG-1"] = _FACTS + "SELECT context, count(*) AS n FROM (SELECT replace(context, chr(13), '') AS context FROM f WHERE context <> '') GROUP BY 1"
+QUERIES["AGG-1"] = lambda spark, d: first_contexts(P.split_events(C.texts(spark, d))).groupBy("context").agg(F.count("*").alias("n"))
+
+_SOME = "concat('00:00.000000-', event_id % 50, ',', event_type, ',1', CASE WHEN event_id % 3 = 0 THEN concat(',A=', event_id, ',A=x') ELSE '' END, ',B=', CASE WHEN event_id % 2 = 0 THEN 'x' ELSE '7' END, ',Guid=5')"
+
+
+@_query("AGG-10", "events", """WITH n AS (SELECT event_type AS event, count(*) AS n FROM events GROUP BY 1),
+  p AS (SELECT event_type AS event, unnest(CASE WHEN event_id % 3 = 0 THEN ['A', 'B', 'Guid'] ELSE ['B', 'Guid'] END) AS name FROM events)
+SELECT event, name, count(*) AS present, 100 * count(*) / max(n.n) AS pct, CASE name WHEN 'A' THEN 'number' ELSE 'string' END AS type FROM p JOIN n USING (event) GROUP BY 1, 2""")
+def property_inventory(x):
+    return I.of_properties(P.parse_events(x.select(F.expr(_SOME).alias("body"))))
+
+
+@_query("AGG-10_events", "events", "SELECT event_type AS event, count(*) AS n, avg(event_id % 50) AS avg_us, CAST(max(event_id % 50) AS DECIMAL(20, 0)) AS max_us FROM events GROUP BY 1")
+def event_inventory(x):
+    return I.of_events(P.parse_events(x.select(F.expr(_SOME).alias("body"))))
+
+
+@_files("SRC-10", "SELECT event_id, event, duration_us, context, sql_text, descr, memory, session_id FROM f")
+def records(spark, path):
+    """Events written as records and read back."""
+    store.write_ndjson(techlog.load(spark, path), f"{path}-records")
+    rich = P.to_rich(store.read_ndjson(spark, f"{path}-records"), fingerprints=False)
+    return rich.select(S.map_get(F.col("props"), "EventId").cast("bigint").alias("event_id"), "event", "duration_us", "context", "sql_text", "descr", "memory", "session_id")
+
+
+@_query("STR-14", "events", """SELECT event_type AS collection, count(*) AS events, CAST(sum(event_id % 100) AS BIGINT) AS bytes, max(ts) AS newest, count(*) FILTER (event_id % 7 = 0) AS saturated
+FROM events GROUP BY 1""")
+def figures_by_collection(x):
+    return by_collection(x.withColumnRenamed("event_type", "collection"), "event_id % 100", saturated="event_id % 7 = 0")

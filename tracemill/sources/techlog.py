@@ -97,19 +97,78 @@ def packed(ranges: list[Range], most: int, open_cost: int) -> list[Pack]:
     return [*out, Pack(tuple(own))]
 
 
-def walk(paths: str, min_size: int) -> tuple[list[tuple[str, int]], int]:
-    """Trace files (path, size) at or below comma-separated paths, largest first, and how many were too small."""
-    found, small = [], 0
+@dataclass
+class Walked:
+    """Trace files (path, size), largest first; files too small, and folders or files that could not be read."""
+
+    files: list[tuple[str, int]]
+    small: int = 0
+    errors: int = 0
+
+
+def remote(path: str) -> bool:
+    return "://" in path and not path.startswith("file:")
+
+
+def _file_system(path: str):
+    """A file system of pyarrow and the path in it (hdfs, s3, gs, ...); credentials come from the environment of the machine."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)
+
+
+def _short(path: str, separator: str) -> str:
+    return G.relative_path(path.split("://", 1)[1] if remote(path) else path, separator)
+
+
+def opened(path: str):
+    """A seekable stream of a file's bytes."""
+    if not remote(path):
+        return open(path, "rb")
+    system, inner = _file_system(path)
+    return system.open_input_file(inner)
+
+
+def census(paths: str, min_size: int) -> Walked:
+    """What lies at or below comma-separated paths, which may be local or URIs."""
+    out = Walked([])
+
+    def seen(name: str, size: int) -> None:
+        if size >= min_size:
+            out.files.append((name, size))
+        else:
+            out.small += 1
+
+    def failed(_: OSError) -> None:
+        out.errors += 1
+
     for top in filter(None, paths.split(",")):
+        if remote(top):
+            from pyarrow import fs
+
+            system, inner = _file_system(top)
+            head = top[: len(top) - len(inner)] if top.endswith(inner) else top.split("://")[0] + "://"
+            info = system.get_file_info(inner)
+            below = [info] if info.is_file else system.get_file_info(fs.FileSelector(inner, recursive=True))
+            for x in below:
+                if x.is_file and (x is info or x.path.endswith(".log")):
+                    seen(head + x.path, x.size)
+            continue
         top = "/" + top[5:].lstrip("/") if top.startswith("file:") else top
-        names = [top] if os.path.isfile(top) else [os.path.join(d, f) for d, _, files in os.walk(top) for f in files if f.endswith(".log")]
+        names = [top] if os.path.isfile(top) else [os.path.join(d, f) for d, _, files in os.walk(top, onerror=failed) for f in files if f.endswith(".log")]
         for name in names:
-            size = os.path.getsize(name)
-            if size >= min_size:
-                found.append((name, size))
-            else:
-                small += 1
-    return sorted(found, key=lambda x: (-x[1], x[0])), small
+            try:
+                seen(name, os.path.getsize(name))
+            except OSError:
+                out.errors += 1  # gone, or not to be read
+    out.files.sort(key=lambda x: (-x[1], x[0]))
+    return out
+
+
+def walk(paths: str, min_size: int) -> tuple[list[tuple[str, int]], int]:
+    """Trace files (path, size), largest first, and how many were too small."""
+    found = census(paths, min_size)
+    return found.files, found.small
 
 
 def events_of(stream, start: int, end: int, closed: bool = False, block: int = 8 << 20) -> Iterator[tuple[int, int, bytes]]:
@@ -164,10 +223,10 @@ def _rows(pack: Pack, separator: str, gone: bool = False) -> Iterator[pa.RecordB
     rows, held = [], 0
     for part in pack.ranges:
         name = re.split(r"[/\\]", part.path)[-1]
-        short = G.relative_path(part.path, separator)
+        short = _short(part.path, separator)
         fixed = (short, name, short.split(separator)[0], G.date_prefix(name)[:-1])
         try:
-            stream = open(part.path, "rb")
+            stream = opened(part.path)
         except FileNotFoundError:
             if gone:
                 continue
@@ -200,7 +259,7 @@ class TraceReader(DataSourceReader):
                 yield f
 
     def wanted(self, path: str) -> bool:
-        short = G.relative_path(path, self.options.separator)
+        short = _short(path, self.options.separator)
         have = {"file_hour": G.date_prefix(re.split(r"[/\\]", path)[-1])[:-1], "collection": short.split(self.options.separator)[0]}
         ops = {"=": lambda a, b: a == b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "in": lambda a, b: a in b}
         return all(ops[op](have[name], value) for name, op, value in self.tests)
@@ -308,6 +367,8 @@ class TraceSource(DataSource):
         return TraceReader(Options.of(dict(self.options)))
 
     def streamReader(self, schema) -> TraceStream:
+        if any(map(remote, self.options.get("path", "").split(","))):
+            raise ValueError("a stream follows files by device and inode, so only local paths")
         return TraceStream(Options.of(dict(self.options)))
 
 
