@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,9 +95,9 @@ def to_bench(raw: DataFrame) -> DataFrame:
     )
 
 
-def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The wide table of 50 columns (and ``event_date`` to partition by); ``keep`` names columns of ``raw`` that stay."""
-    step = raw.select(*[c for c in raw.columns if c != "props"], once(_m=first_wins(F.col("props"))))
+@lru_cache(maxsize=8)
+def _wide(smart_context: bool, gateway: int) -> tuple[Column, ...]:
+    """The columns of the wide table over a map ``_m``; made once for a JVM, as that takes thousands of calls to it."""
     get = lambda name: S.map_get(F.col("_m"), name)
     text = {c: get(p) for c, p in HOT.items()} | {c: S.first_nonempty(*map(get, names)) for c, names in FIRST_OF.items()}
     typed = {c: f for kind, f in (("u64", S.u64), ("u32", S.u32), ("u8", S.u8), ("i64", S.i64)) for c in TYPED[kind] for f in [f]}
@@ -108,7 +111,13 @@ def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = Tru
         "context_hash": S.text_hash(text["context"]), "context_line": S.context_line(text["context"], smart_context), "sql_hash": S.text_hash(text["sql_text"]),
         "props": F.map_filter("_m", lambda k, v: ~k.isin(*IN_COLUMNS) | odd_session(k, v)),
     }
-    out = step.select(*[x.alias(c) for c, x in columns.items()], *keep)
+    return tuple(x.alias(c) for c, x in columns.items())
+
+
+def to_rich(raw: DataFrame, smart_context: bool = True, fingerprints: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The wide table of 50 columns (and ``event_date`` to partition by); ``keep`` names columns of ``raw`` that stay."""
+    step = raw.select(*[c for c in raw.columns if c != "props"], once(_m=first_wins(F.col("props"))))
+    out = step.select(*_wide(smart_context, id(SparkContext._gateway)), *keep)
     out = with_fingerprint(out) if fingerprints else out
     return out.withColumn("event_date", F.to_date("ts"))
 

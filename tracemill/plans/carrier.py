@@ -62,6 +62,8 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts += [F.lit(f",{name}="), value]
     path = F.concat(F.lit("logs\\worker_"), F.col("pid").cast("string"), F.lit("\\"), F.date_format("ts", "yyMMddHH"), F.lit(".log"))
     line = f.select(path.alias("file_path"), F.struct("event_id", F.concat(*parts).alias("line")).alias("x"))
+    # a numbered repartition isn't joined into one task for its few bytes: what is parsed from them takes time
+    line = line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_path")
     rows = line.groupBy("file_path").agg(F.sort_array(F.collect_list("x")).alias("x"))
     return rows.select("file_path", F.concat(F.lit("﻿junk before the first event\n"), F.array_join(F.transform("x", lambda v: v["line"]), "\r\n"), F.lit("\r\n")).alias("content"))
 

@@ -108,42 +108,58 @@ def busy_by_minute(minutes: DataFrame, scope: Scope = ALL, event: str = "DBMSSQL
     return out.select("time", (F.col("busy_us") / 60e6).alias("busy_workers"), _sec(R.quantile(F.col("q"), 0.95), 2).alias("p95_s"), "queries_per_min").orderBy("time")
 
 
+def _top_of_whole(own: DataFrame, keys: tuple[str, ...], sums: list[Column], total: str, most: int, kept: str = "true") -> DataFrame:
+    """The ``most`` groups with the largest ``total`` among those ``kept``, with ``whole``, the total of all rows.
+
+    The whole is a grouping set of the same aggregation, so rows are read once, and it comes first in the top-k, so no task sees
+    more than that; sums must not be negative.
+    """
+    groups = own.groupingSets([list(keys), []], *keys).agg(F.grouping_id().alias("_whole"), *sums)
+    top = groups.filter(f"_whole > 0 OR ({kept})").orderBy(F.desc("_whole"), F.desc(total), *keys).limit(most + 1)
+    return top.withColumn("whole", F.expr(f"max(if(_whole > 0, {total}, NULL)) OVER ()")).filter("_whole = 0").drop("_whole")
+
+
 def database_profile(rich: DataFrame, scope: Scope = ALL, most: int = 20) -> DataFrame:
     own = scope.of(rich.filter("event = 'DBMSSQL'"), "ts", "process_name", "usr", "db_name")
-    sums = own.groupBy("db_name").agg(F.count("*").alias("calls"), _total("duration_us").alias("total_us"))
-    whole = own.agg(_total("duration_us").alias("whole"))  # one row
-    return sums.join(F.broadcast(whole)).select("db_name", "calls", "total_us", (100 * F.col("total_us") / F.col("whole")).alias("pct")).orderBy(F.desc("total_us"), "db_name").limit(most)
+    top = _top_of_whole(own, ("db_name",), [F.count("*").alias("calls"), _total("duration_us").alias("total_us")], "total_us", most)
+    return top.select("db_name", "calls", "total_us", (100 * F.col("total_us") / F.col("whole")).alias("pct")).orderBy(F.desc("total_us"), "db_name")
 
 
 def code_lines(rich: DataFrame, scope: Scope = ALL, most: int = 20) -> DataFrame:
     own = scope.of(rich.filter("event = 'DBMSSQL'"), "ts", "process_name", "usr", "db_name")
-    line = S.trim_blanks(F.col("context_line")).alias("context_line")
-    sums = own.filter("context_line <> ''").groupBy(line).agg(F.count("*").alias("calls"), _total("duration_us").alias("total_us"), F.count_distinct("sql_hash").alias("uniq_sql"))
-    whole = own.agg(_total("duration_us").alias("whole"))
-    return sums.join(F.broadcast(whole)).select("context_line", "calls", "total_us", (100 * F.col("total_us") / F.col("whole")).alias("pct"), "uniq_sql").orderBy(F.desc("total_us"), "context_line").limit(most)
+    # a line of blanks is a line, an empty one is none
+    own = own.select(F.when(F.col("context_line") != "", S.trim_blanks(F.col("context_line"))).alias("context_line"), "duration_us", "sql_hash")
+    sums = [F.count("*").alias("calls"), _total("duration_us").alias("total_us"), F.count_distinct("sql_hash").alias("uniq_sql")]
+    top = _top_of_whole(own, ("context_line",), sums, "total_us", most, "context_line IS NOT NULL")
+    return top.select("context_line", "calls", "total_us", (100 * F.col("total_us") / F.col("whole")).alias("pct"), "uniq_sql").orderBy(F.desc("total_us"), "context_line")
 
 
 def top_queries(queries: DataFrame, scope: Scope = ALL, most: int = 20) -> DataFrame:
-    """Normalised queries by total time; only the rows of the top ones are summed up in full."""
+    """Normalised queries by total time, with a sample of the latest event."""
     own = scope.of(queries, "hour", "db_name")
-    top = own.groupBy("sql_norm_hash").agg(_total("dur_sum").alias("s")).orderBy(F.desc("s"), "sql_norm_hash").limit(most).select("sql_norm_hash")
-    whole = own.agg(_total("dur_sum").alias("whole"))
-    out = own.join(F.broadcast(top), "sql_norm_hash", "left_semi").groupBy("sql_norm_hash").agg(
+    sums = [
         _total("cnt").alias("calls"), _total("dur_sum").alias("total_us"), F.max("dur_max").alias("max_us"), _total("rows_sum").alias("rows_sum"), F.count_distinct("param_bucket").alias("buckets"),
-        F.substring(F.max_by("sql_sample", "last_at"), 1, 160).alias("sql"), S.trim_blanks(F.max_by("context_sample", "last_at")).alias("context_line"),
+        F.max_by(F.struct("sql_sample", "context_sample"), "last_at").alias("_sample"),
+    ]
+    out = _top_of_whole(own, ("sql_norm_hash",), sums, "total_us", most)
+    out = out.select(
+        "calls", "total_us", "max_us", "rows_sum", "buckets", F.substring("_sample.sql_sample", 1, 160).alias("sql"), S.trim_blanks(F.col("_sample.context_sample")).alias("context_line"),
+        (100 * F.col("total_us") / F.col("whole")).alias("pct"), S.hash_hex(F.col("sql_norm_hash")).alias("norm_hash_hex"),
     )
-    out = out.join(F.broadcast(whole)).withColumn("pct", 100 * F.col("total_us") / F.col("whole")).drop("whole")
-    return out.withColumn("norm_hash_hex", S.hash_hex(F.col("sql_norm_hash"))).drop("sql_norm_hash").orderBy(F.desc("total_us"), "norm_hash_hex")
+    return out.orderBy(F.desc("total_us"), "norm_hash_hex")
 
 
 def parameter_degradation(queries: DataFrame, scope: Scope = ALL, most: int = 8) -> DataFrame:
     """Queries seen with several parameter classes: by class, the heaviest query first."""
     own = scope.of(queries, "hour", "db_name")
-    top = own.groupBy("sql_norm_hash").agg(_total("dur_sum").alias("s"), F.count_distinct("param_bucket").alias("b")).filter("b > 1").orderBy(F.desc("s"), "sql_norm_hash").limit(most).select("sql_norm_hash")
-    sums = own.join(F.broadcast(top), "sql_norm_hash", "left_semi").groupBy("sql_norm_hash", "param_bucket").agg(
+    sums = own.groupBy("sql_norm_hash", "param_bucket").agg(
         F.substring(F.max_by("sql_sample", "last_at"), 1, 100).alias("sql"), _total("cnt").alias("calls"), _total("dur_sum").alias("total_us"))
-    ranked = sums.withColumn("heaviest", F.expr("max(total_us) OVER (PARTITION BY sql_norm_hash)"))
-    return ranked.orderBy(F.desc("heaviest"), "sql_norm_hash", S.param_bucket_order(F.col("param_bucket"))).select("sql", F.col("param_bucket").alias("params"), "calls", "total_us")
+    # a query has at most as many rows as there are classes
+    by_query = sums.groupBy("sql_norm_hash").agg(
+        _total("total_us").alias("s"), F.max("total_us").alias("heaviest"), F.collect_list(F.struct("sql", F.col("param_bucket").alias("params"), "calls", "total_us")).alias("classes"))
+    top = by_query.filter(F.size("classes") > 1).orderBy(F.desc("s"), "sql_norm_hash").limit(most)
+    rows = top.select("sql_norm_hash", "heaviest", F.inline("classes"))
+    return rows.orderBy(F.desc("heaviest"), "sql_norm_hash", S.param_bucket_order(F.col("params"))).select("sql", "params", "calls", "total_us")
 
 
 def per_minute(rich: DataFrame, events: tuple[str, ...], scope: Scope = ALL) -> DataFrame:

@@ -78,13 +78,13 @@ def supervise(
 
 
 def live(names: list[str]) -> dict[str, tuple[int, int, int]]:
-    """Folders to read of ``batch=n`` and ``run=a-b-g`` (batches a to b, written anew for the g-th time): those that no other one covers."""
+    """Folders to read of ``batch=n`` and ``batch=a-b-g`` (a run of batches a to b, written anew for the g-th time): those that no other one covers."""
     spans = {}
     for n in names:
-        found = re.fullmatch(r"batch=(\d+)|run=(\d+)-(\d+)-(\d+)", n)
+        found = re.fullmatch(r"batch=(\d+)(?:-(\d+)-(\d+))?", n)
         if found:
-            x, a, b, g = found.groups()
-            spans[n] = (int(x), int(x), -1) if x else (int(a), int(b), int(g))
+            a, b, g = found.groups()
+            spans[n] = (int(a), int(b), int(g)) if b else (int(a), int(a), -1)
     # widest first, of equal ones the latest; a folder inside one already taken is left out
     out: dict[str, tuple[int, int, int]] = {}
     for n, (a, b, g) in sorted(spans.items(), key=lambda x: (x[1][0] - x[1][1], -x[1][2])):
@@ -93,8 +93,12 @@ def live(names: list[str]) -> dict[str, tuple[int, int, int]]:
     return dict(sorted(out.items(), key=lambda x: x[1]))
 
 
+def _read(spark: SparkSession, top: str, names: list[str] | dict) -> DataFrame:
+    return spark.read.option("basePath", top).parquet(*[f"{top}/{n}" for n in names]).drop("batch")
+
+
 def _parts(spark: SparkSession, target: str, name: str) -> DataFrame:
-    return spark.read.parquet(*[f"{target}/{name}/{n}" for n in live(hadoop.names(spark, f"{target}/{name}"))])
+    return _read(spark, f"{target}/{name}", live(hadoop.names(spark, f"{target}/{name}")))
 
 
 def _swept(spark: SparkSession, top: str) -> dict[str, tuple[int, int, int]]:
@@ -102,7 +106,7 @@ def _swept(spark: SparkSession, top: str) -> dict[str, tuple[int, int, int]]:
     found = hadoop.names(spark, top)
     kept = live(found)
     for n in found:
-        if re.match("(batch|run)=", n) and n not in kept:
+        if n.startswith("batch=") and n not in kept:
             hadoop.delete(spark, f"{top}/{n}")
     return dict(list(kept.items())[:-1])
 
@@ -110,7 +114,7 @@ def _swept(spark: SparkSession, top: str) -> dict[str, tuple[int, int, int]]:
 def _written(spark: SparkSession, rows: DataFrame, top: str, old: dict[str, tuple[int, int, int]], by: tuple[str, ...] = ()) -> str:
     """Rows of old folders as a run that covers them: built aside and renamed, then the old ones go.  A stop at any place loses and doubles nothing."""
     spans = list(old.values())
-    run = f"run={spans[0][0]}-{spans[-1][1]}-{max(g for _, _, g in spans) + 1}"
+    run = f"batch={spans[0][0]}-{spans[-1][1]}-{max(g for _, _, g in spans) + 1}"
     writer = rows.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(f"{top}/_{run}")
     hadoop.rename(spark, f"{top}/_{run}", f"{top}/{run}")
@@ -125,7 +129,7 @@ def compact(spark: SparkSession, target: str, name: str, most: int = 1000) -> st
     old = dict(list(_swept(spark, top).items())[:most])
     if len(old) < 2:
         return None
-    rows = spark.read.parquet(*[f"{top}/{n}" for n in old])
+    rows = _read(spark, top, old)
     rollups = {r.name: r for r in ROLLUPS}
     if name in rollups:
         return _written(spark, merge(rows, rollups[name]), top, old)
@@ -147,7 +151,7 @@ def retain(spark: SparkSession, target: str, today: str, days: int = 90, rollup_
     for r in ROLLUPS:
         top, time_column = f"{target}/{r.name}", next(iter(r.keys))
         for n, span in _swept(spark, top).items():
-            rows = spark.read.parquet(f"{top}/{n}")
+            rows = _read(spark, top, [n])
             kept = F.col(time_column) >= F.lit(old).cast("timestamp_ntz")
             if rows.filter(~kept).limit(1).count():
                 _written(spark, rows.filter(kept), top, {n: span})
