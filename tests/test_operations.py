@@ -52,6 +52,12 @@ def test_inventory(spark):
     assert {r.event: (r.n, r.avg_us, int(r.max_us)) for r in inventory.of_events(raw).collect()} == {"A": (2, 20.0, 30), "B": (1, 0.0, 0)}
 
 
+def test_mean_durations_are_not_rounded(spark):
+    rows = [("A", "1"), ("A", "1"), ("A", "2"), ("A", None), ("B", None), ("C", "18446744073709551615"), ("C", "18446744073709551615")]
+    got = {r.event: (r.n, r.avg_us) for r in inventory.of_events(spark.createDataFrame(rows, "event string, duration string")).collect()}
+    assert got == {"A": (4, 4 / 3), "B": (1, None), "C": (2, float(2**64 - 1))}
+
+
 def test_ingest_figures_schema_and_archive_by_event(spark, tmp_path):
     top = logs(tmp_path)
     with open(f"{top}/worker_1/25113011.log", "w") as f:

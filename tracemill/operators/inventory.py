@@ -11,7 +11,9 @@ from .parse import is_json_number
 def of_events(raw: DataFrame) -> DataFrame:
     """A row an event: n, mean and largest duration, and the collections that have it, if ``collection`` is a column."""
     duration = F.col("duration").cast("decimal(20,0)")
-    sums = [F.count("*").alias("n"), F.avg(duration).cast("double").alias("avg_us"), F.max(duration).alias("max_us")]
+    # avg of a decimal is rounded to four places, the exact sum over the count is not
+    mean = F.sum(duration).cast("double") / F.count(duration)
+    sums = [F.count("*").alias("n"), mean.alias("avg_us"), F.max(duration).alias("max_us")]
     if "collection" in raw.columns:
         sums.append(F.array_sort(F.collect_set("collection")).alias("collections"))
     return raw.groupBy("event").agg(*sums)
