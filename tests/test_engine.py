@@ -41,6 +41,38 @@ def test_source_equals_native_parser(spark, tmp_path):
     assert list(reader.pushFilters([techlog.EqualTo(("file_hour",), "2025-11-30T11")])) == [] and len(reader.partitions()) == 1 and len(reader.partitions()[0].ranges) == 1
 
 
+def test_short_ranges_share_tasks_and_read_little(tmp_path):
+    d = tmp_path / "worker_1"
+    d.mkdir()
+    for hour in range(10, 20):
+        (d / f"251130{hour}.log").write_text("".join(f"00:00.{i:06d}-{i},CALL,1,A={'x' * (i % 900)}\n" for i in range(1000)))
+    files = techlog.walk(str(tmp_path), 100)[0]
+    options = techlog.Options(str(tmp_path), range_bytes=64, open_cost=0)
+    packs = techlog.TraceReader(options).partitions()
+    size = sum(n for _, n in files)
+    assert size // 64 > 50_000 and techlog.TASKS <= len(packs) <= 2 * techlog.TASKS
+    got = sorted((r["start_off"], r["end_off"], r["filename"]) for pack in packs for b in techlog._rows(pack, options) for r in b.select(["start_off", "end_off", "filename"]).to_pylist())
+    assert got == sorted((a, b, os.path.basename(p)) for p, _ in files for a, b in G.split_events(open(p, "rb").read()))
+
+    class Counted:
+        n = 0
+
+        def __init__(self, f):
+            self.f, self.seek = f, f.seek
+
+        def read(self, k):
+            data = self.f.read(k)
+            Counted.n += len(data)
+            return data
+
+    path, n = files[0]
+    with open(path, "rb") as f:
+        assert sum(1 for a in range(0, n, 4096) for _ in techlog.events_of(Counted(f), a, min(a + 4096, n))) == 1000
+    assert Counted.n < 4 * n
+    big = techlog.TraceReader(techlog.Options(str(tmp_path), task_bytes=100_000, range_bytes=1000, open_cost=0)).partitions()
+    assert max(sum(r.end - r.start for r in p.ranges) for p in big) <= 100_000
+
+
 def test_rich_table(spark, tmp_path):
     rich = P.to_rich(techlog.load(spark, tree(tmp_path)).filter("file_hour = '2025-11-30T10'"))
     assert len(rich.columns) >= 50

@@ -1,7 +1,7 @@
 """The ``techlog`` data source: directories of trace files, in batch and as a stream.
 
-Batch: files are cut into byte ranges, so that one large file feeds many tasks, and small ones are packed into one; the reader of a range
-takes the events that begin in it and reads on to the end of the last.  Predicates on ``file_hour`` (the
+Batch: files are cut into byte ranges, so that one large file feeds many tasks, and small files and short ranges are packed into one; the reader
+of a range takes the events that begin in it and reads on to the end of the last, and little beyond.  Predicates on ``file_hour`` (the
 hour in a file's name) prune files before anything is opened; ``collection`` likewise.
 
 Stream: the offset holds, for each file by identity (device and inode), the generation and the
@@ -34,6 +34,8 @@ SCHEMA = (
     "file_path string, filename string, collection string, file_hour string, start_off long, end_off long, body string"
 )
 BOM = b"\xef\xbb\xbf"
+#: Ranges shorter than a task's bytes are packed into so many tasks, or more where those would exceed the task's bytes.
+TASKS = 256
 
 
 @dataclass(frozen=True)
@@ -43,12 +45,13 @@ class Options:
     path: str
     min_size: int = 100
     range_bytes: int = 16 << 20
+    task_bytes: int = 16 << 20
     open_cost: int = 64 << 10
     idle_ms: int = 2000
     max_bytes_per_trigger: int = 256 << 20
     separator: str = "\\"
 
-    RANGES = {"min_size": (0, 1 << 30), "range_bytes": (1, 1 << 40), "open_cost": (0, 1 << 30), "idle_ms": (0, 3_600_000), "max_bytes_per_trigger": (1, 1 << 50)}
+    RANGES = {"min_size": (0, 1 << 30), "range_bytes": (1, 1 << 40), "task_bytes": (1, 1 << 40), "open_cost": (0, 1 << 30), "idle_ms": (0, 3_600_000), "max_bytes_per_trigger": (1, 1 << 50)}
 
     @classmethod
     def of(cls, options: dict) -> Options:
@@ -171,16 +174,18 @@ def walk(paths: str, min_size: int) -> tuple[list[tuple[str, int]], int]:
     return found.files, found.small
 
 
-def events_of(stream, start: int, end: int, closed: bool = False, block: int = 8 << 20) -> Iterator[tuple[int, int, bytes]]:
+def events_of(stream, start: int, end: int, closed: bool = False, block: int = 8 << 20, tail: int = 4 << 10) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, bytes) of the events that begin in [start, end) of a file; memory is a block and the largest event.
 
-    Only whole lines are looked at, so a mask is never cut.  ``closed``: nothing beyond ``end`` belongs to the last event.
+    A range shorter than a block is read with a tail for its last event; where that isn't enough, reads double.  Only whole lines are looked at, so a mask is never cut.  ``closed``: nothing beyond ``end`` belongs to the last event.
     """
     base = start - 1 if start > len(BOM) else 0  # the byte before tells whether a line begins at ``start``
     stream.seek(base)
     data, seen, pending, more = b"", 0, None, b"x"
+    step = min(block, end - base + tail)
     while more:
-        more = stream.read(min(block, end - base - len(data)) if closed else block)
+        more = stream.read(min(step, end - base - len(data)) if closed else step)
+        step = min(block, 2 * step)
         data += more
         if base == 0 and data.startswith(BOM):
             data, base = data[len(BOM) :], len(BOM)
@@ -212,8 +217,17 @@ def _strings(bodies: list[bytes]) -> pa.Array:
         return pa.array([x.decode("utf-8", "replace") for x in bodies])
 
 
-def _rows(pack: Pack, separator: str, gone: bool = False) -> Iterator[pa.RecordBatch]:
+def _cut(part: Range, step: int) -> Iterator[Range]:
+    """The ranges of at most ``step`` bytes of a part of a file; a closed one stays whole."""
+    if part.closed:
+        yield part
+    else:
+        yield from (Range(part.path, a, min(a + step, part.end)) for a in range(part.start, part.end, step))
+
+
+def _rows(pack: Pack, options: Options, gone: bool = False) -> Iterator[pa.RecordBatch]:
     """The events' texts with their places; they are parsed by native expressions (``load``).  ``gone``: files may be missing by now."""
+    separator = options.separator
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -232,12 +246,13 @@ def _rows(pack: Pack, separator: str, gone: bool = False) -> Iterator[pa.RecordB
                 continue
             raise
         with stream:
-            for row in events_of(stream, part.start, part.end, part.closed):
-                rows.append(fixed + row)
-                held += len(row[2])
-                if held > 4 << 20 or len(rows) >= 10_000:
-                    yield batch(rows)
-                    rows, held = [], 0
+            for own in _cut(part, options.range_bytes):
+                for row in events_of(stream, own.start, own.end, own.closed):
+                    rows.append(fixed + row)
+                    held += len(row[2])
+                    if held > 4 << 20 or len(rows) >= 10_000:
+                        yield batch(rows)
+                        rows, held = [], 0
     if rows:
         yield batch(rows)
 
@@ -265,13 +280,15 @@ class TraceReader(DataSourceReader):
         return all(ops[op](have[name], value) for name, op, value in self.tests)
 
     def partitions(self) -> list[Pack]:
-        files, _ = walk(self.options.path, self.options.min_size)
-        step = self.options.range_bytes
-        ranges = [Range(p, a, min(a + step, n)) for p, n in files if self.wanted(p) for a in range(0, n, step)]
-        return packed(ranges, step, self.options.open_cost)
+        files = [(p, n) for p, n in walk(self.options.path, self.options.min_size)[0] if self.wanted(p)]
+        own, cost = self.options.range_bytes, self.options.open_cost
+        # a task has one range or several of a file, which its reader cuts again
+        most = max(own, min(self.options.task_bytes, sum(n + cost for _, n in files) // TASKS))
+        step = most // own * own
+        return packed([Range(p, a, min(a + step, n)) for p, n in files for a in range(0, n, step)], most, cost)
 
     def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
-        return _rows(partition, self.options.separator)
+        return _rows(partition, self.options)
 
 
 class TraceStream(DataSourceStreamReader):
@@ -316,10 +333,10 @@ class TraceStream(DataSourceStreamReader):
             begin = old["off"] if old["gen"] == now["gen"] else 0
             if now["off"] > begin:
                 out.append(Range(now["path"], begin, now["off"], True))
-        return packed(out, self.options.range_bytes, self.options.open_cost) if out else []
+        return packed(out, max(self.options.range_bytes, self.options.task_bytes), self.options.open_cost) if out else []
 
     def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
-        return _rows(partition, self.options.separator, gone=True)  # rotated away since the offset was made
+        return _rows(partition, self.options, gone=True)  # rotated away since the offset was made
 
     def commit(self, end: dict) -> None:
         self.last = json.loads(end["files"])
