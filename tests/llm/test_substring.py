@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 
 from tracemill.llm import substring
 from tracemill.llm.fm_index import FMIndex
@@ -75,3 +76,41 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in substring.window_dedup(spark.createDataFrame(data, SCHEMA)).collect())
     assert got == [(-1, 90, 90), (3, 90, 0), (3, 90, 0), (3, 91, 0)]
     assert rows(substring.window_dedup(frame(spark, ["A\x0b b\n c"])))[0]["kept_text"] == "A b c"
+
+
+def test_what_goes_between_shards_grows_with_shards_not_with_contexts(spark, monkeypatch):
+    rng = seeded(6)
+    passage = prose(rng, 80)
+    texts = [prose(rng, 60) + " " + passage + " " + prose(rng, 60) for _ in range(120)]
+    texts += [" ".join(words(t)[30:170]) for t in texts[:20]] + texts[20:30]
+    made = {}
+    stored = substring.shared.stored
+
+    def counted(df, name, *by):
+        out = stored(df, name, *by)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring.shared, "stored", counted)
+    shard = 20
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.window_digests(frame(spark, texts), shard).collect())
+    assert got == brute(list(enumerate(texts)))
+    # windows of the passage are in all shards of its anchors, the others at most in two
+    windows, contexts = 31, made["contexts-parts"]
+    assert contexts > 5 * shard
+    assert 0 < made["contexts-between"] < windows * contexts / 4
+
+
+def test_keys_are_never_cut(spark):
+    rows = spark.createDataFrame([(k, i) for k in range(40) for i in range(1 + 7 * (k % 5))], "k long, c long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        def sizes(t):
+            k = t.column("k").to_pylist()
+            yield pa.RecordBatch.from_pylist([{"k": x, "n": k.count(x), "rows": len(k), "keys": len(set(k))} for x in sorted(set(k))])
+
+        got = substring._by_shard(rows, 20, sizes, "k long, n long, rows long, keys long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.k, r.n) for r in got) == [(k, 1 + 7 * (k % 5)) for k in range(40)]
+    assert any(r.keys > 1 for r in got)

@@ -13,9 +13,10 @@ Contexts are dealt by anchor into shards.  For each shard an FM-index is built o
 through it by backward search over the wavelet matrix, five blocks a window.  Windows
 whose matching statistic reaches 50 words are reported with the smallest
 doc_id among their suffix interval, and those intervals go back to all documents
-that have the context.  An anchor with more contexts than a shard may hold is refined: its contexts
-are cut into their windows, keyed by the window itself, so that a key has one context
-however many documents share it.
+that have the context.  The contexts of an anchor with more of them than a shard may hold are dealt by their hashes to
+several shards.  A shard lists its distinct windows once, however many contexts have them; those that another shard
+has from a smaller doc_id are sent to it, a context each, so that its index finds them too.  So what goes between shards grows
+with windows and shards, not with windows and contexts.
 
 Defined cases: null and empty texts have no words; a text with fewer than 50 words
 loses nothing; matches within one document don't count; rows that repeat a doc_id are
@@ -26,7 +27,7 @@ empty table gives an empty result; extra columns are ignored by ``window_dedup``
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -184,78 +185,95 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray, high: np.nda
 FOUND = "a long, c long, n long, runs array<struct<start:int,stop:int,low:long>>"
 
 
-def _searched(contexts: DataFrame, shard: int) -> DataFrame:
-    """FOUND: for each context its runs of windows (first and last start) that a document below ``high`` has, with the smallest such; one row a context."""
-
-    def of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        col = rows.column("words").combine_chunks()
-        size = np.asarray(pc.binary_length(col)).astype(np.int64) // 4
-        off = np.concatenate([[0], np.cumsum(size)])
-        words = np.frombuffer(b"".join(col.to_pylist()), "<u4")
-        low, high = (np.asarray(rows.column(x)) for x in ("low", "high"))
-        own, start, least = matches_of(words, off, low, high)
-        one = least < high[own]
-        own, start, least = own[one], start[one], least[one]
-        if not len(own):
-            return
-        new = np.ones(len(own), bool)
-        new[1:] = (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1])
-        lead = np.flatnonzero(new)
-        last = np.append(lead[1:], len(own)) - 1
-        context, n = np.unique(own[lead], return_counts=True)
-        parts = [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
-        runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays(parts, ["start", "stop", "low"]))
-        yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c", "n")), runs], ["a", "c", "n", "runs"])
+def _by_shard(rows: DataFrame, shard: int, of: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``of`` over shards: rows of whole keys ``k``, together while they are no more than ``shard``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n = 0
+        n, last = 0, None
         for batch in batches:
-            while batch.num_rows:
-                need = shard - n
-                if batch.num_rows <= need and n + batch.num_rows < shard:
-                    held.append(batch)
-                    n += batch.num_rows
-                    break
-                # a shard ends where an anchor ends; anchors are in order, and none has more contexts than a shard
-                a = np.asarray(batch.column("a"))
-                cut = need
-                while 0 < cut < len(a) and a[cut] == a[cut - 1]:
-                    cut -= 1
-                if cut == 0 and held and a[0] == np.asarray(held[-1].column("a"))[-1]:
-                    cut = int(np.searchsorted(a, a[0], "right"))
-                if cut == 0 and not held:
-                    cut = int(np.searchsorted(a, a[0], "right"))
-                held.append(batch.slice(0, cut))
-                yield from of(pa.Table.from_batches(held))
-                held, n, batch = [], 0, batch.slice(cut)
+            k = np.asarray(batch.column("k"))
+            if not len(k):
+                continue
+            begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            at = 0
+            for b, e in zip(begin.tolist(), [*begin[1:].tolist(), len(k)], strict=True):
+                if (b or k[0] != last) and n + e - at > shard and n + b - at:
+                    yield from of(pa.Table.from_batches([*held, batch.slice(at, b - at)]))
+                    held, n, at = [], 0, b
+            held.append(batch.slice(at))
+            n, last = n + len(k) - at, k[-1]
         if n:
             yield from of(pa.Table.from_batches(held))
 
-    return contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(run, FOUND)
+    return rows.repartition("k").sortWithinPartitions("k", "c").mapInArrow(run, schema)
 
 
-def _refined(contexts: DataFrame) -> DataFrame:
-    """The windows of contexts of hot anchors: (ra, rc) the window's hash, then context, start and low, high, words."""
+def _words(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all rows, and where each row's begin."""
+    col = rows.column("words").combine_chunks()
+    size = np.asarray(pc.binary_length(col)).astype(np.int64) // 4
+    return np.frombuffer(b"".join(col.to_pylist()), "<u4"), np.concatenate([[0], np.cumsum(size)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = batch.column("words")
-            size = np.asarray(pc.binary_length(col)).astype(np.int64) // 4
-            off = np.concatenate([[0], np.cumsum(size)])
-            words = np.frombuffer(b"".join(col.to_pylist()), "<u4")
-            own = np.repeat(np.arange(len(size)), size)
-            if len(words) < WINDOW:
-                continue
-            at = np.flatnonzero(own[: len(words) - WINDOW + 1] == own[WINDOW - 1 :])
-            g = grams(words.astype(np.uint64), WINDOW)[at].view(np.int64)
-            cut = np.lib.stride_tricks.sliding_window_view(words, WINDOW)[at]
-            take = pa.array(own[at])
-            cols = [pa.array(g), pa.array(mix(g.view(np.uint64)).view(np.int64)), *(batch.column(x).take(take) for x in ("a", "c")), pa.array((at - off[own[at]]).astype(np.int32)),
-                    *(batch.column(x).take(take) for x in ("low", "high", "n")), pa.array([x.tobytes() for x in cut], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["ra", "rc", "a", "c", "start", "low", "high", "n", "words"])
 
-    return contexts.mapInArrow(run, "ra long, rc long, a long, c long, start int, low long, high long, n long, words binary")
+def _searched(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """FOUND: for each context its runs of windows (first and last start) that a document below ``high`` has, with the smallest such; one row a context.
+
+    Rows of no document (``n`` is 0) are only found in others.
+    """
+    words, off = _words(rows)
+    low, high, many = (np.asarray(rows.column(x)) for x in ("low", "high", "n"))
+    own, start, least = matches_of(words, off, low, high)
+    one = (least < high[own]) & (many[own] > 0)
+    own, start, least = own[one], start[one], least[one]
+    if not len(own):
+        return
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1])
+    lead = np.flatnonzero(new)
+    last = np.append(lead[1:], len(own)) - 1
+    context, n = np.unique(own[lead], return_counts=True)
+    parts = [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
+    runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays(parts, ["start", "stop", "low"]))
+    yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c", "n")), runs], ["a", "c", "n", "runs"])
+
+
+WINDOWS = "k long, w long, low long, words binary"
+
+
+def _windows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """WINDOWS: the distinct windows of each key, by their hash w, each with its smallest ``low``."""
+    words, off = _words(rows)
+    own = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    if len(words) < WINDOW:
+        return
+    at = np.flatnonzero(own[: len(words) - WINDOW + 1] == own[WINDOW - 1 :])
+    g = grams(words.astype(np.uint64), WINDOW)[at].view(np.int64)
+    k, low = (np.asarray(rows.column(x))[own[at]] for x in ("k", "low"))
+    order = np.lexsort((low, g, k))
+    new = np.ones(len(order), bool)
+    new[1:] = (k[order[1:]] != k[order[:-1]]) | (g[order[1:]] != g[order[:-1]])
+    first = order[new]
+    data = np.lib.stride_tricks.sliding_window_view(words, WINDOW)[at[first]].tobytes()
+    place = (4 * WINDOW * np.arange(len(first) + 1)).astype(np.int32)
+    cut = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(place.tobytes()), pa.py_buffer(data)])
+    yield pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (k, g, low)), cut], ["k", "w", "low", "words"])
+
+
+def _dealt(contexts: DataFrame, hot: DataFrame, shard: int) -> DataFrame:
+    """The contexts of hot anchors with keys of at most some ``shard`` contexts, and what each key needs from others: windows that one of them has from a smaller doc_id."""
+    part = F.pmod("c", F.ceil(F.col("size") / shard))
+    mine = shared.spread_join(contexts, hot, ["a"], ["_a"], "size").select(F.xxhash64("a", part).alias("k"), *contexts.columns)
+    mine = shared.stored(mine, "contexts-parts")
+    every = shared.stored(_by_shard(mine, shard, _windows, WINDOWS), "contexts-windows")
+    common = every.groupBy(F.col("w").alias("_w")).agg(F.min("low").alias("least"), F.max("low").alias("most"), F.count("*").alias("size")).filter("least < most")
+    common = shared.stored(common.drop("most"), "contexts-common")
+    both = shared.stored(shared.spread_join(every, common, ["w"], ["_w"], "size").drop("_w"), "contexts-between")
+    source = both.filter("low = least").groupBy(F.col("w").alias("_w")).agg(F.first("words").alias("theirs"))
+    none = F.lit(None).cast("long")
+    sent = both.filter("low > least").join(source, F.col("w") == F.col("_w"))
+    sent = sent.select("k", none.alias("a"), none.alias("c"), F.col("least").alias("low"), F.col("least").alias("high"), F.lit(0).cast("long").alias("n"), F.col("theirs").alias("words"))
+    return mine.unionByName(sent)
 
 
 def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -269,17 +287,11 @@ def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     contexts = shared.stored(_with_words(slim, contexts), "contexts")
     hot = contexts.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("size")).filter(F.col("size") > shard)
     hot = shared.stored(hot, "contexts-hot")
+    keyed = contexts.withColumn("k", F.col("a"))
     if hot.head(1):
-        fine = shared.stored(_refined(shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_semi")), "contexts-fine")
-        one = fine.groupBy(F.col("ra").alias("a"), F.col("rc").alias("c")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"), F.first("words").alias("words"))
-        # a refined context is one window, so it has one run
-        back = _searched(one, shard).select(F.col("a").alias("_ra"), F.col("c").alias("_rc"), F.col("n").alias("size"), F.col("runs")[0]["low"].alias("_low"))
-        back = shared.spread_join(fine, shared.stored(back, "contexts-back"), ["ra", "rc"], ["_ra", "_rc"], "size").filter("_low < high")
-        run = F.struct("start", F.col("start").alias("stop"), F.col("_low").alias("low"))
-        back = back.groupBy("a", "c").agg(F.first("n").alias("n"), F.collect_list(run).alias("runs"))
-        found = _searched(shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_anti"), shard).unionByName(back)
-    else:
-        found = _searched(contexts, shard)
+        rest = shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_anti")
+        keyed = rest.withColumn("k", F.col("a")).unionByName(_dealt(contexts, hot, shard))
+    found = _by_shard(keyed, shard, _searched, FOUND)
     found = shared.stored(found.withColumnsRenamed({"a": "_a", "c": "_c"}), "contexts-found")
     hits = shared.spread_join(own, found, ["a", "c"], ["_a", "_c"], "n")
     earlier = F.filter("runs", lambda x: x["low"] < F.col("doc_id"))
