@@ -87,3 +87,27 @@ def test_odd_rows(spark):
     data = [(None, "same text here", "", "", 0), (4, "same text here", "", "", 0), (4, "same text here", "", "", 0), (9, "Same text HERE", "", "", 0)]
     got = sorted((r.doc_id or -1, r.component_id) for r in simhash.classes(spark.createDataFrame(data, SCHEMA)).collect())
     assert got == [(-1, 4), (4, 4), (4, 4), (9, 4)]
+
+
+def test_few_links_are_settled_by_one_task(spark, monkeypatch):
+    rng = seeded(9)
+    pairs = [(rng.randrange(-600, 600), rng.randrange(-600, 600)) for _ in range(700)] + [(-2000 - i, -2001 - i) for i in range(150)] + [(-(1 << 63), (1 << 63) - 1)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    top = {x: x for p in pairs for x in p}
+    for _ in top:
+        was = dict(top)
+        for a, b in pairs:
+            top[a] = top[b] = min(top[a], top[b])
+        if top == was:
+            break
+    want = {x: y for x, y in top.items() if x != y}
+    made = []
+    stored = simhash.shared.stored
+    monkeypatch.setattr(simhash.shared, "stored", lambda df, name, *by: made.append(name) or stored(df, name, *by))
+    assert {r.node: r.root for r in simhash.components(df).collect()} == want
+    assert made == ["star", "rooted"]
+    made.clear()
+    for few in (0, 800):  # by rounds alone, and rounds first
+        assert {r.node: r.root for r in simhash.components(df, few=few).collect()} == want
+    assert made.count("star") > 4
+    assert simhash.components(df.limit(0)).count() == 0

@@ -134,6 +134,7 @@ def _ordered(a, b) -> list[F.Column]:
 def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = 1) -> DataFrame:
     """(node, root): the classes that verified pairs make, from ``own`` (sid, tid, fp, bands), one row a set."""
     tree = simhash.components(simhash.links(own.select("fp").distinct())).select(F.col("node").alias("fp"), "root")
+    shared.collected(slim.sparkSession)
     by_fp = own.select("sid", "fp").join(tree, "fp", "left").select("sid", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key"))
     rows = own.select("sid", F.explode("bands").alias("key")).unionByName(by_fp)
     many = rows.groupBy(F.col("key").alias("_key")).agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("n"))
@@ -141,6 +142,7 @@ def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int
     rows = shared.stored(shared.spread_join(rows, many, ["key"], ["_key"], "n", "left_semi"), "near-rows")
     wanted = own.select("sid", "tid").join(rows.select("sid").distinct(), "sid", "left_semi")
     sets = shared.stored(_sets(slim, wanted, shingle), "near-sets")
+    shared.collected(slim.sparkSession)
     tested = classes = None
     edges = own.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
     for turn in range(rounds + 1):
@@ -159,6 +161,7 @@ def links(slim: DataFrame, own: DataFrame, shingle: int = SHINGLE, percent: int
             pairs = _settled(shared.spread_join(named, mixed.drop("c"), ["key"], ["_key"], "n"), sets, percent).distinct()
         edges = edges.unionByName(shared.stored(_verified(pairs, sets, percent), "near-edges"))
         classes = simhash.components(edges)
+        shared.collected(slim.sparkSession)
     return simhash.components(edges) if classes is None else classes
 
 
@@ -243,6 +246,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     facts = shared.stored(_facts(slim, shingle), "near-facts")
     own = facts.groupBy("sid").agg(F.min("doc_id").alias("low"), F.min("tid").alias("tid"), F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.count("*").alias("n"))
     own = shared.stored(own, "near-distinct")
+    shared.collected(docs.sparkSession)
     tree = links(slim, own, shingle, percent)
     named = own.join(tree, own["sid"] == tree["node"], "left").select("sid", "n", "low", F.coalesce("root", "sid").alias("root"))
     facts = facts.select("doc_id", "sid")

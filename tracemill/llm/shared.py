@@ -56,6 +56,14 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def collected(spark: SparkSession) -> None:
+    """Have the driver's JVM collect the plans, broadcasts and shuffles of results already stored, and give back the heap they took.
+
+    Left to itself the heap of a driver grows to its limit before old plans and their compiled classes go.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder made by this subpackage, through Hadoop's file systems."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

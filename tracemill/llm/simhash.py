@@ -12,8 +12,8 @@ with more than ``bucket`` fingerprints isn't gathered: the rest of its bits is
 cut again in the same way, so that its members spread over finer buckets, down
 to segments so small that a bucket is bounded by the number of bit patterns.  Within a
 bucket only the links of a spanning forest leave the task, never all pairs.
-Classes come from repeated minimum propagation over those links (large star and
-small star) with a checkpoint a round; nothing of this reaches the driver but a count.
+Classes come from repeated minimum propagation over those links: in one task if they are at most ``FEW``, else by
+joins (large star and small star) with a checkpoint a round; nothing of this reaches the driver but a count.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other;
 fewer words than a shingle give one shingle of all words; repeated rows share a
@@ -35,6 +35,8 @@ from . import shared
 from .tokens import Texts, load8, lowered, sliced, texts_of, words_of
 
 BITS, RADIUS, SHINGLE, SEED, BUCKET = 64, 3, 3, 42, 8192
+#: So many links (16 MiB) are put into classes by one task; more are first made fewer or settled by rounds of joins.
+FEW = 1 << 20
 U = np.uint64
 #: The five primes of XXH64.
 P1, P2, P3, P4, P5 = map(U, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -304,17 +306,49 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
     return found.distinct()
 
 
-def components(edges: DataFrame, most: int = 200) -> DataFrame:
-    """(node, root): the smallest node of each node's class, for the nodes of edges (a, b).
+def rooted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of links (a, b) that are not the smallest of their class, and that smallest."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    top = np.arange(len(nodes))
+    while len(a):
+        # only roots move, so what is in one tree stays together
+        low = np.minimum(top[a], top[b])
+        for x in (top[a], top[b]):
+            np.minimum.at(top, x, low)
+        while (top[top] != top).any():
+            top = top[top]
+        open_ = top[a] != top[b]
+        a, b = a[open_], b[open_]
+    moved = np.flatnonzero(top != np.arange(len(nodes)))
+    return nodes[moved], nodes[top[moved]]
 
-    Alternates large-star and small-star steps; each round is written to the
-    shared folder.  A star's centre is met by a join that adaptive execution can
-    split, and its minimum is pre-aggregated, so hot centres stay spread out.
-    Rounds go on until nothing changes; should ``most`` not be enough, that is an error, never a split class.
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """(node, root) of few enough edges, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.asarray(x.column("a")), np.asarray(x.column("b"))) for x in batches]
+        if held:
+            node, root = rooted(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["node", "root"])
+
+    return shared.stored(edges.coalesce(1).mapInArrow(run, "node long, root long"), "rooted")
+
+
+def components(edges: DataFrame, most: int = 200, few: int = FEW) -> DataFrame:
+    """(node, root): the smallest node of each node's class, for the nodes of edges (a, b) that are not that smallest one.
+
+    At most ``few`` edges are settled by one task.  More alternate large-star and small-star steps until they are
+    that few or nothing changes; each round is written to the shared folder.  A star's centre is met by a join that
+    adaptive execution can split, and its minimum is pre-aggregated, so hot centres stay spread out.
+    Should ``most`` rounds not be enough, that is an error, never a split class.
     """
     edges = shared.stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "star")
-    last = None
+    size, last = edges.count(), None
     for _ in range(most):
+        if size <= few:
+            return _rooted(edges)
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         # large star: each larger neighbour of u moves to the smallest neighbour of u (or u)
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -326,7 +360,7 @@ def components(edges: DataFrame, most: int = 200) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
         if state == last:
             break
-        last = state
+        size, last = state[0], state
     else:
         raise RuntimeError(f"classes have not settled after {most} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
