@@ -101,6 +101,32 @@ def test_what_goes_between_shards_grows_with_shards_not_with_contexts(spark, mon
     assert 0 < made["contexts-between"] < windows * contexts / 4
 
 
+def test_contexts_of_hot_anchors_are_not_made_into_windows(spark, monkeypatch):
+    rng = seeded(7)
+    passage, copied = prose(rng, 80), words(prose(rng, 150))
+    texts = [prose(rng, rng.randrange(0, 60)) + " " + passage + " " + prose(rng, rng.randrange(0, 60)) for _ in range(60)]
+    for _ in range(100):  # near copies, at their edges too
+        w = list(copied)
+        for _ in range(3):
+            w[rng.randrange(len(w))] = prose(rng, 1)
+        texts.append(" ".join(w[rng.randrange(0, 30) : len(w) - rng.randrange(0, 30)]))
+    rng.shuffle(texts)
+    made = {}
+    stored = substring.shared.stored
+
+    def counted(df, name, *by):
+        out = stored(df, name, *by)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(substring.shared, "stored", counted)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.window_digests(frame(spark, texts), 10).collect())
+    assert got == brute(list(enumerate(texts)))
+    (contexts,) = made["contexts-parts"]
+    assert contexts > 200 and len(made["halves"]) > 2
+    assert max(n for name, each in made.items() if name.startswith(("contexts-", "halves")) for n in each) < 4 * contexts
+
+
 def test_keys_are_never_cut(spark):
     rows = spark.createDataFrame([(k, i) for k in range(40) for i in range(1 + 7 * (k % 5))], "k long, c long")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")

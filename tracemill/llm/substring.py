@@ -13,10 +13,11 @@ Contexts are dealt by anchor into shards.  For each shard an FM-index is built o
 through it by backward search over the wavelet matrix, five blocks a window.  Windows
 whose matching statistic reaches 50 words are reported with the smallest
 doc_id among their suffix interval, and those intervals go back to all documents
-that have the context.  The contexts of an anchor with more of them than a shard may hold are dealt by their hashes to
-several shards.  A shard lists its distinct windows once, however many contexts have them; those that another shard
-has from a smaller doc_id are sent to it, a context each, so that its index finds them too.  So what goes between shards grows
-with windows and shards, not with windows and contexts.
+that have the context.  The contexts of an anchor with more of them than a shard may hold are halved: one half has the
+windows with few words left of the anchor, the other those with many.  The words that all windows of a half share (its core)
+are its new key, so equal windows stay together; halves whose core only one document has are dropped, equal halves
+of one key are one, and keys that still have too many are halved again, down to single windows.  So each halving makes at most two rows
+of a row, and what was found goes back from halves to contexts.
 
 Defined cases: null and empty texts have no words; a text with fewer than 50 words
 loses nothing; matches within one document don't count; rows that repeat a doc_id are
@@ -68,13 +69,13 @@ def _leftmost_smallest(g: np.ndarray, span: int) -> np.ndarray:
 
 
 def contexts_of(t: Texts) -> tuple:
-    """Of each anchor: text, context start and end (words from the text's first), anchor hash, context hash."""
+    """Of each anchor: text, context start and end (words from the text's first), anchor hash, context hash, words of the context before it."""
     w = words_of(t)
     h = hash_spans(t, w.start, w.end, 5)
     n = len(w)
     if n < WINDOW:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none
     g = grams(h, RUN)
     at = _leftmost_smallest(g, WINDOW - RUN + 1)
     at = np.unique(at[w.doc[: n - WINDOW + 1] == w.doc[WINDOW - 1 :]])
@@ -85,7 +86,7 @@ def contexts_of(t: Texts) -> tuple:
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(h * up[:n], out=total[1:])
     c = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * M1 + (at - start).astype(np.uint64))
-    return doc, start - w.first[doc], end - w.first[doc], g[at], c
+    return doc, start - w.first[doc], end - w.first[doc], g[at], c, at - start
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -94,25 +95,25 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(slim: DataFrame) -> DataFrame:
-    """(a, c, doc_id, tid, pos, size): each anchor of each document."""
+    """(a, c, doc_id, tid, pos, size, mid): each anchor of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch):
-                doc, start, end, a, c = contexts_of(texts_of(part.column("text")))
+                doc, start, end, a, c, mid = contexts_of(texts_of(part.column("text")))
                 own = pa.array(doc)
-                cols = [pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), part.column("doc_id").take(own), part.column("tid").take(own), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, ["a", "c", "doc_id", "tid", "pos", "size"])
+                cols = [pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), part.column("doc_id").take(own), part.column("tid").take(own), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(mid.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, ["a", "c", "doc_id", "tid", "pos", "size", "mid"])
 
-    return slim.mapInArrow(run, "a long, c long, doc_id long, tid long, pos int, size int")
+    return slim.mapInArrow(run, "a long, c long, doc_id long, tid long, pos int, size int, mid int")
 
 
-CONTEXT = "a long, c long, low long, high long, n long, words binary"
+CONTEXT = "a long, c long, low long, high long, n long, mid int, words binary"
 
 
 def _with_words(slim: DataFrame, contexts: DataFrame) -> DataFrame:
     """CONTEXT rows: the word hashes (4 bytes each) of each context, cut from the document that stands for it."""
-    rep = contexts.select("rep.*", F.struct("a", "c", "low", "high", "n", "rep.pos", "rep.size").alias("x"))
+    rep = contexts.select("rep.*", F.struct("a", "c", "low", "high", "n", "rep.pos", "rep.size", "rep.mid").alias("x"))
     wanted = rep.groupBy(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).agg(F.collect_list("x").alias("wanted"))
     both = slim.join(wanted.hint("shuffle_hash"), (F.col("doc_id") == F.col("_d")) & (F.col("tid") == F.col("_t")))
 
@@ -138,7 +139,7 @@ def _cut(flat: pa.StructArray, start: np.ndarray, h: np.ndarray) -> pa.RecordBat
     data = h[index].astype("<u4").tobytes()
     off = (4 * place).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([*(flat.field(x) for x in ("a", "c", "low", "high", "n")), words], ["a", "c", "low", "high", "n", "words"])
+    return pa.RecordBatch.from_arrays([*(flat.field(x) for x in ("a", "c", "low", "high", "n", "mid")), words], ["a", "c", "low", "high", "n", "mid", "words"])
 
 
 def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,7 +183,7 @@ def matches_of(words: np.ndarray, off: np.ndarray, low: np.ndarray, high: np.nda
     return own[at], rel[at], low[by_low[index.least(lo, hi)]]
 
 
-FOUND = "a long, c long, n long, runs array<struct<start:int,stop:int,low:long>>"
+FOUND = "k long, c long, n long, runs array<struct<start:int,stop:int,low:long>>"
 
 
 def _by_shard(rows: DataFrame, shard: int, of: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -217,14 +218,11 @@ def _words(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _searched(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """FOUND: for each context its runs of windows (first and last start) that a document below ``high`` has, with the smallest such; one row a context.
-
-    Rows of no document (``n`` is 0) are only found in others.
-    """
+    """FOUND: for each context its runs of windows (first and last start) that a document below ``high`` has, with the smallest such; one row a context."""
     words, off = _words(rows)
-    low, high, many = (np.asarray(rows.column(x)) for x in ("low", "high", "n"))
+    low, high = (np.asarray(rows.column(x)) for x in ("low", "high"))
     own, start, least = matches_of(words, off, low, high)
-    one = (least < high[own]) & (many[own] > 0)
+    one = least < high[own]
     own, start, least = own[one], start[one], least[one]
     if not len(own):
         return
@@ -235,45 +233,57 @@ def _searched(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     context, n = np.unique(own[lead], return_counts=True)
     parts = [pa.array(start[lead].astype(np.int32)), pa.array(start[last].astype(np.int32)), pa.array(least[lead])]
     runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays(parts, ["start", "stop", "low"]))
-    yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("a", "c", "n")), runs], ["a", "c", "n", "runs"])
-
+    yield pa.RecordBatch.from_arrays([*(rows.column(x).combine_chunks().take(pa.array(context)) for x in ("k", "c", "n")), runs], ["k", "c", "n", "runs"])
 
-WINDOWS = "k long, w long, low long, words binary"
 
+def _halves(contexts: DataFrame) -> DataFrame:
+    """Both halves of contexts (k, c, low, high, n, mid, lo, hi, words), with the key and name of the whole as pk and pc, its n as pn, and where in it they begin as off.
 
-def _windows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """WINDOWS: the distinct windows of each key, by their hash w, each with its smallest ``low``."""
-    words, off = _words(rows)
-    own = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    if len(words) < WINDOW:
-        return
-    at = np.flatnonzero(own[: len(words) - WINDOW + 1] == own[WINDOW - 1 :])
-    g = grams(words.astype(np.uint64), WINDOW)[at].view(np.int64)
-    k, low = (np.asarray(rows.column(x))[own[at]] for x in ("k", "low"))
-    order = np.lexsort((low, g, k))
-    new = np.ones(len(order), bool)
-    new[1:] = (k[order[1:]] != k[order[:-1]]) | (g[order[1:]] != g[order[:-1]])
-    first = order[new]
-    data = np.lib.stride_tricks.sliding_window_view(words, WINDOW)[at[first]].tobytes()
-    place = (4 * WINDOW * np.arange(len(first) + 1)).astype(np.int32)
-    cut = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(place.tobytes()), pa.py_buffer(data)])
-    yield pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (k, g, low)), cut], ["k", "w", "low", "words"])
-
-
-def _dealt(contexts: DataFrame, hot: DataFrame, shard: int) -> DataFrame:
-    """The contexts of hot anchors with keys of at most some ``shard`` contexts, and what each key needs from others: windows that one of them has from a smaller doc_id."""
-    part = F.pmod("c", F.ceil(F.col("size") / shard))
-    mine = shared.spread_join(contexts, hot, ["a"], ["_a"], "size").select(F.xxhash64("a", part).alias("k"), *contexts.columns)
-    mine = shared.stored(mine, "contexts-parts")
-    every = shared.stored(_by_shard(mine, shard, _windows, WINDOWS), "contexts-windows")
-    common = every.groupBy(F.col("w").alias("_w")).agg(F.min("low").alias("least"), F.max("low").alias("most"), F.count("*").alias("size")).filter("least < most")
-    common = shared.stored(common.drop("most"), "contexts-common")
-    both = shared.stored(shared.spread_join(every, common, ["w"], ["_w"], "size").drop("_w"), "contexts-between")
-    source = both.filter("low = least").groupBy(F.col("w").alias("_w")).agg(F.first("words").alias("theirs"))
-    none = F.lit(None).cast("long")
-    sent = both.filter("low > least").join(source, F.col("w") == F.col("_w"))
-    sent = sent.select("k", none.alias("a"), none.alias("c"), F.col("least").alias("low"), F.col("least").alias("high"), F.lit(0).cast("long").alias("n"), F.col("theirs").alias("words"))
-    return mine.unionByName(sent)
+    lo and hi are the fewest and most words that the windows of a key have before the anchor; a context at an edge of its text lacks some of them.
+    """
+    middle = ((F.col("lo") + F.col("hi")) / 2).cast("int")
+    ranges = F.explode(F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")), F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi"))))
+    fewest = F.greatest(F.col("r.lo"), F.lit(WINDOW) - (F.octet_length("words") / 4).cast("int") + F.col("mid"))
+    each = contexts.withColumn("r", ranges).withColumns({"l": fewest, "h": F.least(F.col("r.hi"), F.col("mid"))}).filter("l <= h")
+
+    def words(before: str, short: str) -> F.Column:
+        return F.expr(f"substring(words, 4 * (mid - {before}) + 1, 4 * ({WINDOW} + {short}))")
+
+    key = F.xxhash64("k", "r.lo", "r.hi", words("r.lo", "r.lo - r.hi"))
+    own = words("h", "h - l")
+    return each.select(
+        F.col("k").alias("pk"), F.col("c").alias("pc"), F.col("n").alias("pn"), (F.col("mid") - F.col("h")).alias("off"),
+        key.alias("k"), F.xxhash64("h", own).alias("c"), "low", "high", F.col("h").alias("mid"), "r.lo", "r.hi", own.alias("words"),
+    )
+
+
+def _found(contexts: DataFrame, shard: int) -> DataFrame:
+    """FOUND of contexts (k, c, low, high, n, mid, lo, hi, words), one row each at most; keys with more than ``shard`` are halved until none has."""
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    while True:
+        hot = contexts.groupBy(F.col("k").alias("_k")).agg(F.count("*").alias("size")).filter(F.col("size") > shard)
+        hot = shared.stored(hot, "contexts-hot")
+        if not hot.head(1):
+            found = shared.stored(_by_shard(contexts, shard, _searched, FOUND), "contexts-found")
+            break
+        rest = shared.spread_join(contexts, hot, ["k"], ["_k"], "size", "left_anti")
+        found = shared.stored(_by_shard(rest, shard, _searched, FOUND), "contexts-found")
+        parts = shared.stored(shared.spread_join(contexts, hot, ["k"], ["_k"], "size", "left_semi"), "halves-parts" if levels else "contexts-parts")
+        halves = shared.stored(_halves(parts), "contexts-between")
+        common = halves.groupBy(F.col("k").alias("_k")).agg(F.min("low").alias("least"), F.max("high").alias("most"), F.count("*").alias("size")).filter("least < most")
+        common = shared.stored(common.select("_k", "size"), "halves-common")
+        kept = shared.spread_join(halves, common, ["k"], ["_k"], "size", "left_semi")
+        firsts = [F.first(x).alias(x) for x in ("mid", "lo", "hi", "words")]
+        contexts = kept.groupBy("k", "c").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"), *firsts)
+        contexts = shared.stored(contexts, "halves")
+        levels.append((found, halves.select("pk", "pc", "pn", "off", "k", "c")))
+    for own, halves in reversed(levels):
+        hits = shared.spread_join(halves, found.withColumnsRenamed({"k": "_k", "c": "_c"}), ["k", "c"], ["_k", "_c"], "n")
+        moved = F.transform("runs", lambda x: F.struct((x["start"] + F.col("off")).alias("start"), (x["stop"] + F.col("off")).alias("stop"), x["low"].alias("low")))
+        whole = hits.select(F.col("pk").alias("k"), F.col("pc").alias("c"), F.col("pn").alias("n"), moved.alias("runs"))
+        whole = whole.groupBy("k", "c").agg(F.first("n").alias("n"), F.flatten(F.collect_list("runs")).alias("runs"))
+        found = shared.stored(own.unionByName(whole), "contexts-found")
+    return found
 
 
 def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -283,16 +293,10 @@ def repeated_windows(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     common = every.groupBy(F.col("a").alias("_a")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
     common = shared.stored(common.filter("low < high").select("_a", "n"), "anchors-common")
     own = shared.stored(shared.spread_join(every, common, ["a"], ["_a"], "n", "left_semi"), "anchors-shared")
-    contexts = own.groupBy("a", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.min(F.struct("doc_id", "tid", "pos", "size")).alias("rep"))
+    contexts = own.groupBy("a", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.min(F.struct("doc_id", "tid", "pos", "size", "mid")).alias("rep"))
     contexts = shared.stored(_with_words(slim, contexts), "contexts")
-    hot = contexts.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("size")).filter(F.col("size") > shard)
-    hot = shared.stored(hot, "contexts-hot")
-    keyed = contexts.withColumn("k", F.col("a"))
-    if hot.head(1):
-        rest = shared.spread_join(contexts, hot, ["a"], ["_a"], "size", "left_anti")
-        keyed = rest.withColumn("k", F.col("a")).unionByName(_dealt(contexts, hot, shard))
-    found = _by_shard(keyed, shard, _searched, FOUND)
-    found = shared.stored(found.withColumnsRenamed({"a": "_a", "c": "_c"}), "contexts-found")
+    whole = contexts.withColumnRenamed("a", "k").withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW - RUN)})
+    found = _found(whole, shard).withColumnsRenamed({"k": "_a", "c": "_c"})
     hits = shared.spread_join(own, found, ["a", "c"], ["_a", "_c"], "n")
     earlier = F.filter("runs", lambda x: x["low"] < F.col("doc_id"))
     moved = F.transform(earlier, lambda x: F.struct((x["start"] + F.col("pos")).alias("start"), (x["stop"] + F.col("pos")).alias("stop")))
