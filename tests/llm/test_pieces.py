@@ -1,5 +1,7 @@
 import hashlib
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -100,3 +102,48 @@ def test_digests_equal_the_library(spark, library):
         assert got[i]["n_tokens"] == len(ids)
         assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
         assert got[i]["text_sha256"] == hashlib.sha256((t or "").replace("▁", " ").encode()).hexdigest()
+
+
+KEPT = r"""
+import re
+import types
+
+import numpy as np
+import pyarrow as pa
+from tracemill.llm import pieces
+
+
+def mb():
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+
+def batches():
+    rng = np.random.default_rng(5)
+    for _ in range(2):
+        letters = rng.choice(np.frombuffer(b"aeioulnrst ", np.uint8), (6000, 2000))
+        yield pa.record_batch({"text": [row.tobytes().decode() for row in letters]})
+
+
+def passed_to_spark(run, schema):
+    given.append(run)
+    raise InterruptedError
+
+
+given = []
+docs = types.SimpleNamespace(sparkSession=types.SimpleNamespace(conf={"spark.sql.shuffle.partitions": "1"}), mapInArrow=passed_to_spark)
+docs.select = lambda *columns: docs
+try:
+    pieces.distinct_units(docs, pieces.Model.load())
+except InterruptedError:
+    pass
+before = mb()
+assert sum(b.num_rows for b in given[0](batches())) > 10**5
+print(mb() - before)
+"""
+
+
+def test_a_worker_gives_its_memory_back():
+    """What a process that has counted units keeps, in MB: it stands beside the executor's JVM while that encodes them."""
+    done = subprocess.run([sys.executable, "-c", KEPT], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 50

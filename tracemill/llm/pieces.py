@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 
 from . import shared
 from .simhash import xxh64
-from .tokens import SLICE_BYTES, Texts, hash_spans, sliced, texts_of
+from .tokens import Texts, hash_spans, sliced, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 HEAD, HEAD_BYTES = 1 << 20, 48
+#: Bytes of text, and of compressed numbers, that a worker takes at once: a byte of text has some fifty bytes of indices beside it.
+PART, PACKED = 1 << 19, 1 << 17
 U = np.uint64
 UNIGRAM, BPE = 1, 2
 
@@ -140,7 +142,7 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(df["doc_id"].cast("long").alias("doc_id"), text.alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
 
 
-def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFrame:
+def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 20) -> DataFrame:
     """(h, unit, n): distinct units with their counts; a task sums up at most ``most`` units before it passes them on."""
     joined, prefix = model.joined(), model.prefix
 
@@ -152,12 +154,13 @@ def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFr
             h = np.concatenate([x[0] for x in held])
             n = np.concatenate([x[1] for x in held])
             units = pa.concat_arrays([x[2] for x in held])
+            held.clear()  # else all is there twice
             order = np.argsort(h, kind="stable")
             lead = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
             return h[order][lead], np.add.reduceat(n[order], lead), units.take(pa.array(order[lead]))
 
         for batch in batches:
-            for part in sliced(batch):
+            for part in sliced(batch, most=PART):
                 t, at, _ = _units(texts_of(part.column("text")), joined, prefix)
                 if not len(at):
                     continue
@@ -182,7 +185,7 @@ def distinct_units(docs: DataFrame, model: Model, most: int = 1 << 21) -> DataFr
     # a task passes each unit on about once, so rows are dealt as they are, in more parts than usual for the work that follows;
     # the length is an aggregate, so that filters on it don't reach below the exchange and both lengths share it
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("text").mapInArrow(run, "unit string, n long").repartition(parts, "unit").groupBy("unit").agg(F.sum("n").alias("n"), F.max(F.length("unit")).alias("size"))
+    dealt = docs.select("text").mapInArrow(shared.lean(run), "unit string, n long").repartition(parts, "unit").groupBy("unit").agg(F.sum("n").alias("n"), F.max(F.length("unit")).alias("size"))
     return dealt.select(F.xxhash64("unit").alias("h"), "unit", "n", "size")
 
 
@@ -341,12 +344,12 @@ class Head:
         order = np.lexsort((h, -n))
         lists = top.column("ids").combine_chunks().take(pa.array(order)) if top.num_rows else pa.array([], pa.list_(pa.int32()))
         self.ids = np.asarray(lists.flatten()).astype(np.int32)
-        self.off = np.asarray(lists.offsets).astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
+        self.off = np.asarray(lists.offsets).astype(np.int32) - np.int32(lists.offsets[0].as_py() if len(lists) else 0)
         h = h[order].view(np.uint64)
         by_hash = np.argsort(h)
         self.h, self.rank = h[by_hash], by_hash.astype(np.int32)
         self.shift = U(64 - max(1, int(len(h)).bit_length()))
-        self.lead = np.searchsorted(self.h, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift)
+        self.lead = np.searchsorted(self.h, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
     def ranks(self, h: np.ndarray) -> np.ndarray:
         """The rank of each hash, -1 if it isn't here."""
@@ -404,7 +407,10 @@ def _assembled(docs: DataFrame, model: Model, head: int, finish, schema: str) ->
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, once = np.unique(np.asarray(batch.column("rid")), return_index=True)
-            for part in sliced(batch.take(pa.array(np.sort(once)))):
+            new = np.zeros(batch.num_rows, bool)
+            new[once] = True
+            for part in sliced(batch.append_column("new", pa.array(new)), most=PART):
+                part = part.filter(part.column("new"))  # parts are copied, not the batch
                 _, _, key, first, _ = _numbered(part, joined, prefix, table.value)
                 rid = part.column("rid").take(pa.array(np.repeat(np.arange(part.num_rows), np.diff(first))))
                 yield pa.RecordBatch.from_arrays([rid, pa.array(key)], ["rid", "h"])
@@ -412,7 +418,7 @@ def _assembled(docs: DataFrame, model: Model, head: int, finish, schema: str) ->
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for part in sliced(batch):
+            for part in sliced(batch, most=PART):
                 number, lead, _, _, size = _numbered(part, joined, prefix, table.value)
                 short = np.minimum(number, LONG).astype("<u2")
                 long = number[short == LONG].astype("<u4")
@@ -423,7 +429,7 @@ def _assembled(docs: DataFrame, model: Model, head: int, finish, schema: str) ->
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in sliced(batch, "blob", SLICE_BYTES // 4):
+            for part in sliced(batch, "blob", PACKED):
                 n = np.asarray(part.column("n"))
                 raw = [z.decompress(x.as_py()) for x in part.column("blob")]
                 short = np.concatenate([np.frombuffer(x, "<u2", k) for x, k in zip(raw, n, strict=True)]).astype(np.int64)
@@ -437,19 +443,24 @@ def _assembled(docs: DataFrame, model: Model, head: int, finish, schema: str) ->
                 k = short[rest] - REST + base[own[rest]]
                 short[rest] = 0
                 known = table.value
-                start, size = (known.off[short], known.off[short + 1] - known.off[short]) if len(known.h) else (np.zeros(len(short), np.int64), np.zeros(len(short), np.int64))
+                start, size = np.zeros(len(short), np.int64), np.zeros(len(short), np.int64)
+                if len(known.h):
+                    start[:], size[:] = known.off[short], known.off[short + 1] - known.off[short]
                 start[rest], size[rest] = len(known.ids) + off[k], off[k + 1] - off[k]
-                flat = np.concatenate([known.ids, np.asarray(lists.values)])[_ragged(start, size)]
+                place = _ragged(start, size)
+                far = place >= len(known.ids)
+                flat = np.empty(len(place), np.int32)
+                flat[~far], flat[far] = known.ids[place[~far]], np.asarray(lists.values)[place[far] - len(known.ids)]
                 ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
                 yield pa.RecordBatch.from_arrays(finish(part.column("doc_id"), flat, ends, part.column("n_bytes")), names)
 
     slim = _plain(docs)
     # all rows of a hash meet in one task, so the second grouping needs no shuffle
-    found = slim.select("text", "rid").mapInArrow(others, "rid long, h long").join(units.select("h", "ids").hint("shuffle_merge"), "h")
+    found = slim.select("text", "rid").mapInArrow(shared.lean(others), "rid long, h long").join(units.select("h", "ids").hint("shuffle_merge"), "h")
     found = found.groupBy("rid", "h").agg(F.first("ids").alias("ids")).groupBy(F.col("rid").alias("_r")).agg(F.sort_array(F.collect_list(F.struct("h", "ids"))).alias("found"))
-    blobs = slim.mapInArrow(packed, "rid long, doc_id long, blob binary, n long, n_bytes long")
+    blobs = slim.mapInArrow(shared.lean(packed), "rid long, doc_id long, blob binary, n long, n_bytes long")
     both = blobs.join(found.hint("shuffle_hash"), F.col("rid") == F.col("_r"), "left").select("doc_id", "blob", "n", "found", "n_bytes")
-    return both.mapInArrow(last, schema)
+    return both.mapInArrow(shared.lean(last), schema)
 
 
 ENCODED = "doc_id long, ids array<int>, n_bytes long"
